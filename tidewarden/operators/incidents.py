@@ -96,8 +96,11 @@ def link_incidents(links: DataFrame, resolved: DataFrame, anomalies: DataFrame,
     """New rows of the incident-anomaly link table.
 
     ``resolved`` is unique by key; where many anomalies share a key, the runtime skew
-    split divides their side and copies the single matching row.
+    split divides their side and copies the single matching row. The split needs an
+    exchange right below the join on both sides, so the small side is spread by
+    another column first instead of keeping the partitioning it was built with.
     """
+    resolved = resolved.repartition("incident_id")
     pairs = anomalies.join(resolved, _same_key(anomalies, resolved)).select(
         resolved["incident_id"], anomalies["anomaly_id"].cast("string").alias("anomaly_id"),
         instant(as_of).alias("linked_at"),

@@ -104,10 +104,10 @@ def history(
 
     A change that repeats the attributes of the one before it opens no version.
     Rows of one key and instant are reduced first (largest attributes win), so
-    their order in the feed does not matter. ``bucket`` bounds the task size for a
-    key with very many changes, see :func:`neighbour`.
+    their order in the feed does not matter. ``bucket`` (default: the day) bounds the
+    task size for a key with very many changes, see :func:`neighbour`.
     """
-    bucket = F.date_trunc("month", F.col(valid_from)) if bucket is None else bucket
+    bucket = F.to_date(valid_from) if bucket is None else bucket
     # A maximum over the attributes as one value combines before the exchange.
     points = (
         changes.groupBy(key, valid_from)

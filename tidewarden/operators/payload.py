@@ -35,7 +35,8 @@ def payload_schema(metrics: Sequence[PayloadMetric] = PAYLOAD_METRICS) -> Struct
 
 def utc_time(text: Column) -> Column:
     """ISO time text read as UTC, whatever offset it may carry."""
-    return text.cast("timestamp_ntz").cast("timestamp")
+    local = F.regexp_replace(text, r"(T[0-9:.]+)(Z|[+-][0-9:]+)$", "$1")
+    return local.cast("timestamp_ntz").cast("timestamp")
 
 
 def pick_hour(times: Column, as_of: Instant) -> Column:

@@ -20,9 +20,15 @@ def late(ingested_at: Column, observed_at: Column, allowed_hours: int = ALLOWED_
 
 
 def station_lookup(station: DataFrame) -> DataFrame:
-    """External id to surrogate key of current stations, one row per external id."""
+    """External id to surrogate key of current stations, one row per external id.
+
+    The constant flag is a grouping column on purpose. Grouped by the id alone, the
+    side would enter a shuffled join with the aggregate's partitioning and without an
+    exchange of its own, and the runtime split of hot stations needs one on both sides.
+    """
     current = station.where("is_current")
-    return current.groupBy("station_external_id").agg(F.min("station_id").alias("station_id"))
+    keys = current.groupBy("station_external_id", "is_current").agg(F.min("station_id").alias("station_id"))
+    return keys.drop("is_current")
 
 
 def metric_lookup(metric: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewarden import settings
 from tidewarden.functions.clock import Instant, elapsed_micros, instant
+from tidewarden.functions.lookup import pinned
 from tidewarden.functions.text import digest
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, transform
 from tidewarden.operators.merge import upsert, upsert_counts
@@ -104,9 +105,9 @@ def transform_pending(
     """Facts of the given runs in one plan.
 
     A loop over the runs would let the later run win a shared key, so the run's start
-    decides first, then the time of storing.
+    decides first, then the time of storing. The list of runs is read before planning.
     """
-    work = runs.select("run_id", F.col("started_at").alias("run_started_at"))
+    work = pinned(runs.select("run_id", F.col("started_at").alias("run_started_at")))
     order = ["run_started_at", "ingest_run_id", "ingested_at", *tie_order]
     return transform.latest_facts(transform.of_runs(raw, work), station, metric, order)
 
