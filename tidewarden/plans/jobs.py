@@ -183,6 +183,8 @@ def check_runs(
     eligible = staged(
         ledger.eligible_check_runs(wh.read("ops_job_run"), stored).select("run_id"), "check-runs"
     )
+    if eligible.isEmpty():
+        return 0
     custom = [d for d in definitions if d.is_active and d.sql_template and d.name not in _BUILT_IN_CHECKS]
     named = [r.run_id for r in eligible.collect()] if custom else []
     child = eligible.select(
