@@ -22,7 +22,7 @@ from tidewarden.plans import jobs, views
 from tidewarden.schemas import KEYS
 from tidewarden.session import shared_folder
 from tidewarden.sources.warehouse import Warehouse
-from tidewarden.streaming.heads import HeadStore
+from tidewarden.streaming.heads import HeadStore, jumps_on_arrival
 from tidewarden.streaming.transform import start_transform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -578,6 +578,14 @@ def station_health(g: Given) -> DataFrame:
     return views.station_health(views.station_freshness(g.fact, g.station_core, g.as_of))
 
 
+@query(f"""SELECT max({floor_seconds(NOW, 'last')}) AS worst_staleness_seconds, count(*) FILTER (last IS NULL) AS n_missing,
+                  count(*) FILTER ({NOW} - last > INTERVAL 2 HOUR) AS n_stale
+           FROM (SELECT s.station_id, max(observed_at) AS last
+                 FROM t_watch s LEFT JOIN t_fact f ON f.station_id = s.station_id GROUP BY ALL)""")
+def worst_station_freshness(g: Given) -> DataFrame:
+    return views.worst_station_freshness(views.station_freshness(g.fact, g.station_core, g.as_of))
+
+
 STATUS_NOW = """greatest((SELECT max(ts) FROM events), (SELECT max(created_at) FROM t_incident),
                          (SELECT max(evaluated_at) FROM t_dq), (SELECT max(started_at) FROM t_runs))"""
 
@@ -806,13 +814,17 @@ def secured_counts(g: Given) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 
-def _streamed(g: Given) -> tuple[Warehouse, HeadStore]:
+def _streamed(g: Given, detect: bool = False) -> tuple[Warehouse, HeadStore]:
     folder = shared_folder(g.spark, "stream")
     warehouse, store = Warehouse(g.spark, f"{folder}/tables"), HeadStore(g.spark, f"{folder}/heads")
     raw = raw_from_events(event_stream(g.spark, g.sf_dir))
+    if detect:
+        newest = g.load("events").agg(F.max("ts")).first()[0]
+        step = jumps_on_arrival(warehouse, store, g.station_core, g.metric, DETECTION, lambda: newest)
+    else:
+        step = store.advance
     running = start_transform(
-        raw, warehouse, g.station_core, g.metric, f"{folder}/checkpoint", ["id"],
-        and_then=lambda facts, epoch: store.advance(facts, epoch),
+        raw, warehouse, g.station_core, g.metric, f"{folder}/checkpoint", ["id"], and_then=step
     )
     running.awaitTermination()
     return warehouse, store
@@ -831,3 +843,11 @@ def stream_heads(g: Given) -> DataFrame:
     """State of the on-arrival detectors after the stream: two rows per series."""
     _, store = _streamed(g)
     return store.latest().select("station_id", "metric_id", "observed_at", "value_num")
+
+
+@query("""SELECT anomaly_type, station_id, metric_id_dedup, severity FROM t_detected
+          WHERE anomaly_type IN ('spike', 'drop')""")
+def stream_jumps(g: Given) -> DataFrame:
+    """Jumps found while the stream came in."""
+    warehouse, _ = _streamed(g, detect=True)
+    return warehouse.read("ops_anomaly").select("anomaly_type", "station_id", "metric_id_dedup", "severity")

@@ -169,6 +169,20 @@ def test_common_shape_keeps_null_details(spark, station, metric):
     ]
 
 
+def test_day_partition_prunes_without_changing_the_result(spark, station, metric):
+    points = [(1, 1, NOW - timedelta(minutes=30 * i), 5) for i in range(20)]
+    plain = facts(spark, points)
+    by_day = plain.withColumn("observed_date", F.to_date("observed_at"))
+    args = (station, metric, {"air_temp_c": 1}, NOW, 600, 6)
+    assert rows(d.flatline_findings(by_day, *args)) == rows(d.flatline_findings(plain, *args)) != []
+
+
+def test_switched_off_types(spark, station, metric):
+    found = d.detect_all(d.Observed(facts(spark, []), station, metric), as_of=NOW)
+    types = spark.createDataFrame([("silent_station", False), ("spike", True)], "anomaly_type string, is_enabled boolean")
+    assert found.count() == 2 and d.enabled_only(found, types).count() == 0
+
+
 def test_plugged_in_detector(spark, station, metric):
     def every_fact(observed, config, as_of):
         return d.as_anomalies(observed.fact.select("station_id", "metric_id", "value_num"), "seen", "low")

@@ -116,6 +116,18 @@ def test_pipeline(spark, warehouse, tmp_path):
     assert page["incidents"].first().open_count == 7
 
 
+def test_a_failed_detector_is_recorded(warehouse):
+    def broken(observed, config, as_of):
+        return observed.fact.select("no_such_column")
+
+    with pytest.raises(Exception, match="no_such_column"):
+        jobs.detect_and_open_incidents(warehouse, START, CONFIG, [detectors.Detector("broken", broken)])
+    assert warehouse.read("ops_job_run").first().status == "failed"
+    run = warehouse.read("ops_anomaly_detector_run").first()
+    assert (run.detector_name, run.status, run.rows_detected) == ("broken", "failed", 0)
+    assert "no_such_column" in run.error_message
+
+
 def test_a_failed_run_is_recorded(warehouse, tmp_path):
     broken = land(tmp_path / "bad", 0, [1])
     (tmp_path / "bad" / "part.json").write_text(

@@ -104,6 +104,11 @@ def test_manual_selection(spark):
         jobs.select_runs(data, [])
 
 
+def test_work_queue_puts_unknown_starts_last(spark):
+    data = spark.createDataFrame([("b", NOW), ("c", None), ("a", NOW), ("d", NOW - timedelta(hours=1))], "run_id string, started_at timestamp")
+    assert [r.run_id for r in ledger.work_queue(data).collect()] == ["d", "a", "b", "c"]
+
+
 def test_ledger_fold(spark):
     def start(run, hour):
         return ledger.ledger_start(spark, run, "j", NOW + timedelta(hours=hour), "p")

@@ -75,12 +75,15 @@ def test_runner_keeps_going_on_a_null_metric_and_binds_templates(spark, metric,
         q.CheckDefinition(4, "switched_off", "critical", 1, ">=", False),
     ]
     tables = q.Checked(fact, fact, station, metric)
-    results = q.run_checks(runs, checks, tables, NOW, ["r1", "r2"])
+    set_wise = q.CheckDefinition(5, "rows_by_run", "critical", 1, ">=", True,
+                                 "SELECT ingest_run_id AS run_id, count(*) AS metric_value FROM template_facts GROUP BY ALL")
+    results = q.run_checks(runs, [*checks, set_wise], tables, NOW).unionByName(
+        q.template_checks(spark, checks, ["r1", "r2"], NOW))
     assert rows(results, "run_id", "check_name", "status", "reason") == [
         ("r1", "fact_duplicate_key_count", "pass", None), ("r1", "late_data_rate_pct", "warn", None),
-        ("r1", "rows_of_run", "pass", None),
+        ("r1", "rows_by_run", "pass", None), ("r1", "rows_of_run", "pass", None),
         ("r2", "fact_duplicate_key_count", "pass", None), ("r2", "late_data_rate_pct", "warn", "null_metric"),
-        ("r2", "rows_of_run", "fail", None),
+        ("r2", "rows_by_run", "fail", "null_metric"), ("r2", "rows_of_run", "fail", None),
     ]
     assert q.new_check_results(results, results).count() == 0
     with pytest.raises(ValueError, match="unknown"):

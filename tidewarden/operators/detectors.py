@@ -18,7 +18,7 @@ from tidewarden.functions.clock import Instant, elapsed_minutes, instant, minute
 from tidewarden.functions.lookup import per_code
 from tidewarden.functions.text import details_json
 from tidewarden.operators.series import (
-    SERIES, last_seen_by_series, last_seen_by_station, latest_pairs, series_heads,
+    SERIES, last_seen_by_series, last_seen_by_station, latest_pairs, series_heads, since,
 )
 
 Config = Mapping[str, float] | DataFrame
@@ -106,10 +106,10 @@ def flatline_findings(
 ) -> DataFrame:
     """Series with enough recent points whose values stay within the epsilon.
 
-    The time filter goes first and reaches the scan; there is no upper bound, so
-    future observations count. Points without a value count as points.
+    The time filter goes first and reaches the scan (and the day partitions, if the
+    frame has them); there is no upper bound, so future observations count. Points without a value count as points.
     """
-    recent = fact.where(F.col("observed_at") >= instant(as_of) - minutes(window_minutes))
+    recent = since(fact, "observed_at", instant(as_of) - minutes(window_minutes), "observed_date")
     spans = recent.groupBy(*SERIES).agg(
         F.count("*").alias("points"),
         F.min("observed_at").alias("window_start_at"),
@@ -245,6 +245,11 @@ def detect_all(
     return reduce(DataFrame.unionByName, parts)
 
 
+def enabled_only(found: DataFrame, anomaly_types: DataFrame) -> DataFrame:
+    """Anomalies whose type is switched on. By default detectors ignore the switch."""
+    return found.join(anomaly_types.where("is_enabled").select("anomaly_type"), "anomaly_type", "left_semi")
+
+
 def detector_counts(detected: DataFrame, inserted: DataFrame, linked: DataFrame) -> DataFrame:
     """Rows detected, inserted and linked per detector, zero-filled.
 

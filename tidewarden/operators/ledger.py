@@ -105,6 +105,11 @@ def pending_runs(
     return _succeeded(runs, ingest_job).join(done, "run_id", "left_anti")
 
 
+def work_queue(runs: DataFrame) -> DataFrame:
+    """Runs in the order a worker would take them, oldest first."""
+    return runs.orderBy(F.asc_nulls_last("started_at"), F.asc("run_id"))
+
+
 def eligible_check_runs(
     runs: DataFrame,
     check_results: DataFrame,

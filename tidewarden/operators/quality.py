@@ -13,7 +13,7 @@ from tidewarden.functions.clock import Instant, elapsed_minutes, instant
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.functions.text import digest
 from tidewarden.operators.merge import insert_or_ignore
-from tidewarden.operators.series import last_seen_by_series
+from tidewarden.operators.series import last_seen_by_series, newest_observation, since
 from tidewarden.operators.transform import metric_lookup
 from tidewarden.schemas import DECIMAL, KEYS, SCHEMAS
 
@@ -72,10 +72,10 @@ def stations_missing_metric(fact: DataFrame, station: DataFrame, metric: DataFra
 
     Counts distinct metrics per station instead of pairing stations with metrics.
     """
-    hour = fact.agg(F.date_trunc("hour", F.max("observed_at"))).scalar()
+    hour = F.date_trunc("hour", newest_observation(fact))
     active = metric.where("is_active").select("metric_id")
     seen = (
-        fact.where(F.col("observed_at") >= hour)
+        since(fact, "observed_at", hour, "observed_date")
         .join(active, "metric_id", "left_semi")
         .groupBy("station_id")
         .agg(F.count_distinct("metric_id").alias("_seen"))
@@ -202,8 +202,13 @@ def check_status(metric: Column, threshold: Column, operator: Column, severity:
 
 
 class CheckDefinition(NamedTuple):
-    """One row of the check catalogue. ``sql_template`` is used for names that have no
-    built-in metric: it takes ``:run_id`` and returns one row with ``metric_value``."""
+    """One row of the check catalogue.
+
+    ``sql_template`` is used for names that have no built-in metric. With a ``:run_id``
+    parameter it returns one row with ``metric_value`` for that run. Without one it
+    returns ``(run_id, metric_value)`` for all runs, which is a single query however
+    many runs there are.
+    """
 
     check_id: int
     name: str
@@ -213,6 +218,15 @@ class CheckDefinition(NamedTuple):
     is_active: bool = True
     sql_template: str | None = None
 
+    @property
+    def built_in(self) -> bool:
+        return self.name in TABLE_METRICS or self.name in RUN_METRICS
+
+    @property
+    def per_run(self) -> bool:
+        """Whether the template must be bound to one run at a time."""
+        return not self.built_in and bool(self.sql_template) and ":run_id" in self.sql_template
+
 
 MAX_DEFINITIONS = 1000
 
@@ -265,10 +279,10 @@ RUN_METRICS: Mapping[str, Callable[[Checked], DataFrame]] = {
 
 
 def template_metrics(spark: SparkSession, definition: CheckDefinition, run_ids: Sequence[str]) -> DataFrame:
-    """Metric of a custom SQL check for the given runs.
+    """``(run_id, metric_value)`` of a template bound to each of the given runs.
 
-    Each run binds ``:run_id``; a template that returns several rows is an error,
-    one that returns none gives a null metric.
+    A template that returns several rows is an error, one that returns none gives a
+    null metric.
     """
     parts = [
         constant_frame(spark, [(run_id,)], "run_id string").withColumn(
@@ -279,34 +293,49 @@ def template_metrics(spark: SparkSession, definition: CheckDefinition, run_ids:
     return reduce(DataFrame.unionByName, parts)
 
 
+def template_checks(
+    spark: SparkSession, definitions: Sequence[CheckDefinition], run_ids: Sequence[str], as_of: Instant = None
+) -> DataFrame:
+    """Results of the per-run templates for a few runs."""
+    wide = constant_frame(spark, [(r,) for r in run_ids], "run_id string")
+    active = [d for d in definitions if d.is_active and d.per_run]
+    for d in active:
+        wide = _attach(wide, template_metrics(spark, d, run_ids), d.name)
+    return _results(wide, active, as_of)
+
+
 def run_checks(
-    runs: DataFrame,
-    definitions: Sequence[CheckDefinition],
-    tables: Checked,
-    as_of: Instant = None,
-    template_run_ids: Sequence[str] = (),
+    runs: DataFrame, definitions: Sequence[CheckDefinition], tables: Checked, as_of: Instant = None
 ) -> DataFrame:
-    """Results of every active check for every run, as one plan.
+    """Results of the active set-wise checks for every run, as one plan.
 
     Whole-table metrics are scalars, computed once; per-run metrics are one aggregate
-    each, joined on the run. ``runs`` has one row per ``run_id``.
+    each, joined on the run. ``runs`` has one row per ``run_id``. Per-run templates
+    are left to :func:`template_checks`.
     """
-    active = [d for d in definitions if d.is_active]
+    active = [d for d in definitions if d.is_active and not d.per_run]
     wide = runs.select("run_id")
     for d in active:
         if d.name in TABLE_METRICS:
-            value = TABLE_METRICS[d.name](tables, as_of).scalar()
-            wide = wide.withColumn(d.name, value.cast(DECIMAL))
+            wide = wide.withColumn(d.name, TABLE_METRICS[d.name](tables, as_of).scalar().cast(DECIMAL))
         elif d.name in RUN_METRICS:
-            per_run = RUN_METRICS[d.name](tables).withColumn(d.name, F.col(METRIC).cast(DECIMAL)).drop(METRIC)
-            wide = wide.join(per_run, "run_id", "left")
-        elif d.sql_template and template_run_ids:
-            per_run = template_metrics(runs.sparkSession, d, template_run_ids)
-            wide = wide.join(per_run.withColumn(d.name, F.col(METRIC).cast(DECIMAL)).drop(METRIC), "run_id", "left")
+            wide = _attach(wide, RUN_METRICS[d.name](tables), d.name)
+        elif d.sql_template:
+            wide = _attach(wide, runs.sparkSession.sql(d.sql_template), d.name)
         else:
-            raise ValueError(f"check {d.name!r} has neither a built-in metric nor a template and runs to bind")
-    rows = F.array(*[_check_row(d) for d in active])
-    long = wide.select("run_id", F.inline(rows))
+            raise ValueError(f"check {d.name!r} has neither a built-in metric nor a template")
+    return _results(wide, active, as_of)
+
+
+def _attach(wide: DataFrame, per_run: DataFrame, name: str) -> DataFrame:
+    metric = per_run.select("run_id", F.col(METRIC).cast(DECIMAL).alias(name))
+    return wide.join(metric, "run_id", "left")
+
+
+def _results(wide: DataFrame, active: Sequence[CheckDefinition], as_of: Instant) -> DataFrame:
+    if not active:
+        return empty_results(wide.sparkSession)
+    long = wide.select("run_id", F.inline(F.array(*[_check_row(d) for d in active])))
     return long.select(
         digest(F.col("run_id"), F.col("check_name")).alias("dq_run_id"),
         "run_id",

@@ -7,13 +7,30 @@ of :func:`~tidewarden.operators.merge.first_per_key`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewarden.operators.merge import first_per_key
 
 SERIES = ["station_id", "metric_id"]
 
 
+def since(rows: DataFrame, time: str, moment: Column, day: str) -> DataFrame:
+    """Rows from ``moment`` on. If the frame has the table's day partition, days before
+    it are not read at all."""
+    kept = rows.where(F.col(time) >= moment)
+    return kept.where(F.col(day) >= F.to_date(moment)) if day in rows.columns else kept
+
+
+def newest_observation(fact: DataFrame) -> Column:
+    """Time of the newest fact as a scalar; null for an empty table.
+
+    With the day partition at hand only the newest day's times are read.
+    """
+    if "observed_date" in fact.columns:
+        fact = fact.where(F.col("observed_date") == fact.agg(F.max("observed_date")).scalar())
+    return fact.agg(F.max("observed_at")).scalar()
+
+
 def last_seen_by_series(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*SERIES).agg(F.max("observed_at").alias("last_observed_at"))
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import traceback
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidewarden import settings
-from tidewarden.functions.clock import Instant, elapsed_micros, instant
+from tidewarden.functions.clock import Instant, instant
 from tidewarden.functions.lookup import pinned
 from tidewarden.functions.text import digest
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, transform
@@ -185,29 +187,41 @@ def check_runs(
     )
     if eligible.isEmpty():
         return 0
-    custom = [d for d in definitions if d.is_active and d.sql_template and d.name not in _BUILT_IN_CHECKS]
-    named = [r.run_id for r in eligible.collect()] if custom else []
     child = eligible.select(
         digest(F.lit(settings.CHECKS_JOB), F.col("run_id"), instant(as_of)).alias("run_id"),
         F.col("run_id").alias("parent_run_id"),
     )
     wh.append("ops_job_event", ledger.events_for(child, settings.CHECKS_JOB, "started", as_of))
-    if custom:
+    if any(d.is_active and d.sql_template and not d.built_in for d in definitions):
         for name in (RAW, FACT, "dim_station", "dim_metric", "ops_job_run"):
             wh.read(name).createOrReplaceTempView(name)
-    tables = quality.Checked(
-        wh.stored(RAW), wh.read(FACT), wh.read("dim_station"), wh.read("dim_metric")
+        eligible.createOrReplaceTempView("eligible_runs")
+    tables = quality.Checked(wh.stored(RAW), wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
+
+    def store(results: DataFrame) -> DataFrame:
+        fresh = staged(quality.new_check_results(stored, results), "check-results")
+        wh.append("ops_dq_check_run", fresh)
+        return fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
+
+    counts = [store(quality.run_checks(eligible, definitions, tables, as_of))]
+    if any(d.is_active and d.per_run for d in definitions):
+        # Templates bound to one run are single queries by nature; a few runs make one plan.
+        for few in _chunks((r.run_id for r in eligible.toLocalIterator()), TEMPLATE_RUNS_PER_PLAN):
+            counts.append(store(quality.template_checks(wh.spark, definitions, few, as_of)))
+    total = reduce(DataFrame.unionByName, counts).groupBy("parent_run_id").agg(
+        F.sum("rows_inserted").alias("rows_inserted")
     )
-    results = quality.run_checks(eligible, definitions, tables, as_of, named)
-    fresh = staged(quality.new_check_results(stored, results), "check-results")
-    wh.append("ops_dq_check_run", fresh)
-    inserted = fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
-    done = child.join(inserted, "parent_run_id", "left")
+    done = child.join(total, "parent_run_id", "left")
     wh.append("ops_job_event", ledger.events_for(done, settings.CHECKS_JOB, "succeeded", as_of))
-    return fresh.count()
+    return total.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0))).first()[0]
 
 
-_BUILT_IN_CHECKS = {*quality.TABLE_METRICS, *quality.RUN_METRICS}
+TEMPLATE_RUNS_PER_PLAN = 50
+
+
+def _chunks(items: Iterator[str], size: int) -> Iterator[list[str]]:
+    while few := list(islice(items, size)):
+        yield few
 
 
 def detect_and_open_incidents(
@@ -215,16 +229,27 @@ def detect_and_open_incidents(
     as_of: datetime,
     config: detectors.DetectorConfig = detectors.DetectorConfig(),
     registry: Sequence[detectors.Detector] = detectors.BUILT_IN,
+    respect_switches: bool = False,
 ) -> str:
-    """Detect, store new anomalies, open or touch incidents, link. Returns the run id."""
+    """Detect, store new anomalies, open or touch incidents, link. Returns the run id.
+
+    With ``respect_switches`` types that the type table disables are left out. The
+    detectors are one plan, so they succeed or fail together.
+    """
 
     def body(run_id: str) -> dict:
         begun = datetime.now(timezone.utc)
-        observed = detectors.Observed(wh.read(FACT), wh.read("dim_station"), wh.read("dim_metric"))
-        found = staged(
-            incidents.stamp_anomalies(detectors.detect_all(observed, config, as_of, registry), as_of), "detected"
-        )
-        fresh, links = store_anomalies(wh, found, as_of)
+        empty = wh.spark.sql("SELECT '' AS detector, 0L AS rows_detected, 0L AS rows_inserted, 0L AS rows_linked").limit(0)
+        try:
+            observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
+            detected = detectors.detect_all(observed, config, as_of, registry)
+            if respect_switches:
+                detected = detectors.enabled_only(detected, wh.read("ops_anomaly_type"))
+            found = staged(incidents.stamp_anomalies(detected, as_of), "detected")
+            fresh, links = store_anomalies(wh, found, as_of)
+        except Exception as error:
+            _store_detector_runs(wh, empty, registry, run_id, as_of, begun, f"{type(error).__name__}: {error}")
+            raise
         by_id = fresh.select(F.col("anomaly_id").alias("_id"), "detector")
         linked = links.join(by_id, links["anomaly_id"] == by_id["_id"]).select("detector")
         counts = detectors.detector_counts(found, fresh, linked)
@@ -257,20 +282,28 @@ def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> tuple[Da
     return fresh, links
 
 
-def _store_detector_runs(wh, counts, registry, run_id, as_of, begun) -> None:
+def _store_detector_runs(
+    wh: Warehouse,
+    counts: DataFrame,
+    registry: Sequence[detectors.Detector],
+    run_id: str,
+    as_of: datetime,
+    begun: datetime,
+    error: str | None = None,
+) -> None:
     """One ledger row per detector, also for those that found nothing."""
-    spark = wh.spark
-    listed = spark.range(1).select(F.explode(F.array(*[F.lit(d.name) for d in registry])).alias("detector"))
+    names = F.explode(F.array(*[F.lit(d.name) for d in registry]))
+    listed = wh.spark.range(1).select(names.alias("detector"))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_detected", "rows_inserted", "rows_linked")]
-    finished = F.lit(datetime.now(timezone.utc))
+    spent = datetime.now(timezone.utc) - begun
     rows = listed.join(counts, "detector", "left").select(
         F.lit(run_id).alias("run_id"),
         F.col("detector").alias("detector_name"),
         instant(as_of).alias("started_at"),
-        (instant(as_of) + (finished - F.lit(begun))).alias("finished_at"),
-        F.floor(elapsed_micros(finished, F.lit(begun)) / 1000).alias("duration_ms"),
+        (instant(as_of) + F.lit(spent)).alias("finished_at"),
+        F.lit(int(spent.total_seconds() * 1000)).alias("duration_ms"),
         *zero,
-        F.lit("succeeded").alias("status"),
-        F.lit(None).cast("string").alias("error_message"),
+        F.lit("failed" if error else "succeeded").alias("status"),
+        F.lit(error and error[: settings.MESSAGE_LIMIT]).cast("string").alias("error_message"),
     )
     wh.append("ops_anomaly_detector_run", rows)

@@ -11,7 +11,7 @@ from tidewarden.functions.clock import Instant, elapsed_seconds, hours, instant,
 from tidewarden.functions.text import utc_text, words
 from tidewarden.operators.detectors import monitored
 from tidewarden.operators.merge import first_per_key
-from tidewarden.operators.series import SERIES, last_seen_by_series
+from tidewarden.operators.series import SERIES, last_seen_by_series, newest_observation, since
 
 
 def _freshness(last: Column, now: Column) -> Column:
@@ -52,6 +52,16 @@ def station_metric_freshness(fact: DataFrame, station: DataFrame, as_of: Instant
     )
 
 
+def worst_station_freshness(freshness: DataFrame) -> DataFrame:
+    """The station that has been quiet the longest, which the platform status does not
+    show: there the newest fact of all counts. One row, with the number never seen."""
+    return freshness.agg(
+        F.max("staleness_seconds").alias("worst_staleness_seconds"),
+        F.count_if(F.col("freshness") == "MISSING").alias("n_missing"),
+        F.count_if(F.col("freshness") == "STALE").alias("n_stale"),
+    )
+
+
 def station_health(freshness: DataFrame) -> DataFrame:
     """Dashboard label of :func:`station_freshness`; its limits differ from the view's."""
     age = F.col("staleness_seconds")
@@ -85,7 +95,7 @@ def platform_status(
     """
     now = instant(as_of)
     unresolved = incidents.where(F.col("status") != "resolved").agg(F.count("*").cast("int")).scalar()
-    newest = fact.agg(F.max("observed_at")).scalar()
+    newest = newest_observation(fact)
     bad = check_results.where(
         F.col("status").isin("warn", "fail") & (F.col("evaluated_at") >= now - hours(settings.RECENT_HOURS))
     )
@@ -151,7 +161,7 @@ def anomaly_summary(anomalies: DataFrame, anomaly_types: DataFrame, as_of: Insta
 
     The recent anomalies are counted per type before the join.
     """
-    recent = anomalies.where(F.col("detected_at") >= instant(as_of) - hours(settings.RECENT_HOURS))
+    recent = since(anomalies, "detected_at", instant(as_of) - hours(settings.RECENT_HOURS), "detected_date")
     counts = recent.groupBy("anomaly_type").agg(F.count("anomaly_id").alias("_n"))
     types = anomaly_types.select("anomaly_type").distinct()
     return types.join(counts, "anomaly_type", "left").select(
@@ -161,7 +171,7 @@ def anomaly_summary(anomalies: DataFrame, anomaly_types: DataFrame, as_of: Insta
 
 def anomaly_severity(anomalies: DataFrame, as_of: Instant = None) -> DataFrame:
     """Severity breakdown of the last day's anomalies."""
-    recent = anomalies.where(F.col("detected_at") >= instant(as_of) - hours(settings.RECENT_HOURS))
+    recent = since(anomalies, "detected_at", instant(as_of) - hours(settings.RECENT_HOURS), "detected_date")
     return recent.groupBy("anomaly_type", "severity").agg(F.count("*").alias("n_anomalies"))
 
 
