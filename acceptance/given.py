@@ -18,6 +18,7 @@ from tidewarden.operators.quality import CheckDefinition
 from tidewarden.operators.transform import latest_facts, to_facts
 from tidewarden.schemas import DECIMAL
 from tidewarden.settings import ANOMALY_TYPES, INGEST_JOB, TRANSFORM_JOB, PayloadMetric
+from tidewarden.sources.warehouse import staged
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -147,6 +148,11 @@ class Given:
     def fact(self) -> DataFrame:
         return latest_facts(self.raw, self.station_core, self.metric, ["ingested_at", "id"])
 
+    @cached_property
+    def stored_fact(self) -> DataFrame:
+        """The facts as a written table, for queries that read them several times."""
+        return staged(self.fact, "fact")
+
     @cached_property
     def fact_rows(self) -> DataFrame:
         """Facts before repeated keys are merged."""

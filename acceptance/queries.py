@@ -21,7 +21,7 @@ from tidewarden.operators.series import series_heads
 from tidewarden.plans import jobs, views
 from tidewarden.schemas import KEYS
 from tidewarden.session import shared_folder
-from tidewarden.sources.warehouse import Warehouse
+from tidewarden.sources.warehouse import Warehouse, staged
 from tidewarden.streaming.heads import HeadStore, jumps_on_arrival
 from tidewarden.streaming.transform import start_transform
 
@@ -308,7 +308,7 @@ def detect_flatline(g: Given) -> DataFrame:
 
 
 def _all_found(g: Given) -> DataFrame:
-    observed = detectors.Observed(g.fact, g.station_core, g.metric)
+    observed = detectors.Observed(g.stored_fact, g.station_core, g.metric)
     return incidents.stamp_anomalies(detectors.detect_all(observed, DETECTION, g.as_of), g.as_of)
 
 
@@ -326,8 +326,11 @@ def all_anomalies(g: Given) -> DataFrame:
             USING (anomaly_type, station_id, metric_id_dedup)
           GROUP BY d.anomaly_type""")
 def detector_run_counts(g: Given) -> DataFrame:
-    """Counters of a run whose new anomalies are all linked."""
-    found = _all_found(g)
+    """Counters of a run whose new anomalies are all linked.
+
+    As in the job, the detected rows are written once and then used three times.
+    """
+    found = staged(_all_found(g), "detected")
     hour = F.date_trunc("hour", g.as_of)
     fresh = incidents.new_anomalies(g.anomaly.where(F.col("detected_hour") == hour), found)
     return detectors.detector_counts(found, fresh, fresh)
@@ -468,7 +471,7 @@ def dq_unknown_metric(g: Given) -> DataFrame:
 def dq_orphans(g: Given) -> DataFrame:
     """Against dimensions that lack smoke-test stations, inactive metrics and failed runs."""
     return quality.orphans(
-        g.fact, detectors.monitored(g.station_core), g.metric.where("is_active"), g.day_runs.where("status = 'succeeded'")
+        g.stored_fact, detectors.monitored(g.station_core), g.metric.where("is_active"), g.day_runs.where("status = 'succeeded'")
     )
 
 
@@ -531,7 +534,7 @@ CHECK_VALUES = {
                FROM t_day_runs r WHERE status = 'succeeded'""" for d in CHECKS if d.is_active) + ")")
 def dq_run_all(g: Given) -> DataFrame:
     runs = g.day_runs.where("status = 'succeeded'")
-    tables = quality.Checked(g.raw, g.fact, g.station_core, g.metric)
+    tables = quality.Checked(g.raw, g.stored_fact, g.station_core, g.metric)
     results = quality.run_checks(runs, CHECKS, tables, g.as_of)
     return results.select("run_id", "check_name", "metric_value", "threshold", "status")
 
@@ -781,7 +784,7 @@ def _secured_tables(g: Given) -> dict[str, DataFrame]:
                          'analyst_station_scope', 'analyst_fact_scope', 'ops_reads_facts', 'ops_reads_raw',
                          'grants_isolated']) AS check_name, 'PASS' AS result""")
 def rls_audit(g: Given) -> DataFrame:
-    return security.access_audit(_secured_tables(g), "anon", "bob", "opsy", F.col("is_smoketest"))
+    return security.access_audit(_secured_tables(g) | {"fact_observation": g.stored_fact}, "anon", "bob", "opsy", F.col("is_smoketest"))
 
 
 @query("""SELECT u.user_id, t.table_name,

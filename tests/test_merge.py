@@ -69,10 +69,15 @@ def test_insert_or_ignore_equals_row_by_row(spark, stored, batch):
     assert rows(new, "k", "seq", "v") == sorted(expected.values(), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def test_null_keys_match_in_insert_or_ignore(spark):
-    stored = frame(spark, [(None, 1, "a")])
-    new = insert_or_ignore(stored, frame(spark, [(None, 2, "b"), (1, 3, "c")]), ["k"], [F.asc("seq")])
-    assert rows(new, "v") == [("c",)]
+def test_insert_or_ignore_shuffles_each_side_once(spark):
+    shape = "k int, seq int, v string"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = insert_or_ignore(frame(spark, [(1, 1, "a")], shape), frame(spark, [(1, 2, "b"), (2, 3, "c")], shape), ["k"], [F.asc("seq")])
+        assert new._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert rows(new, "v") == [("c",)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_anomaly_dedup_by_hour_and_metric(spark):

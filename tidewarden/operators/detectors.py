@@ -43,9 +43,9 @@ def silent_findings(
     fact: DataFrame, station: DataFrame, as_of: Instant = None, after_minutes: int = settings.SILENT_AFTER_MINUTES
 ) -> DataFrame:
     """Stations never seen, or last seen before ``as_of - after_minutes``."""
-    now, last = instant(as_of), F.col("last_observed_at")
+    now, last = F.col("_now"), F.col("last_observed_at")
     seen = monitored(station).select("station_id").join(last_seen_by_station(fact), "station_id", "left")
-    silent = seen.where(last.isNull() | (last < now - minutes(after_minutes)))
+    silent = seen.withColumn("_now", instant(as_of)).where(last.isNull() | (last < now - minutes(after_minutes)))
     return silent.select(
         "station_id", last, F.round(elapsed_minutes(now, last), 2).alias("minutes_silent")
     )
@@ -55,8 +55,8 @@ def stale_findings(
     fact: DataFrame, station: DataFrame, as_of: Instant = None, after_minutes: int = settings.STALE_AFTER_MINUTES
 ) -> DataFrame:
     """Series last seen before ``as_of - after_minutes``."""
-    now, last = instant(as_of), F.col("last_observed_at")
-    stale = last_seen_by_series(fact).where(last < now - minutes(after_minutes))
+    now, last = F.col("_now"), F.col("last_observed_at")
+    stale = last_seen_by_series(fact).withColumn("_now", instant(as_of)).where(last < now - minutes(after_minutes))
     return _watch(stale, station).select(
         *SERIES,
         last,

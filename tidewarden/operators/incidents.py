@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewarden.functions.clock import Instant, instant
 from tidewarden.functions.text import digest, incident_title
@@ -13,6 +11,7 @@ from tidewarden.schemas import KEYS, SCHEMAS
 from tidewarden.settings import LIVE_INCIDENT_STATUSES
 
 INCIDENT_KEY = ["anomaly_type", "station_id", "metric_id"]
+MATCH_KEY = ["anomaly_type", "station_id", "_metric_key"]
 
 
 def stamp_anomalies(found: DataFrame, as_of: Instant) -> DataFrame:
@@ -32,20 +31,21 @@ def new_anomalies(anomalies: DataFrame, batch: DataFrame) -> DataFrame:
     return insert_or_ignore(anomalies, batch, KEYS["ops_anomaly"], [F.asc("detected_at"), F.asc("anomaly_id")])
 
 
-def _same_key(left: DataFrame, right: DataFrame) -> Column:
-    """Type and station equal; metric equal or missing on both sides."""
-    terms = [left[k].eqNullSafe(right[k]) for k in INCIDENT_KEY]
-    return reduce(lambda a, b: a & b, terms)
+def _keyed(df: DataFrame) -> DataFrame:
+    """With a never-null metric key, so that plain equality matches missing metrics too
+    and a side reduced per key is joined without another exchange."""
+    return df.withColumn("_metric_key", F.coalesce("metric_id", F.lit(-1)))
 
 
 def live_incidents(incidents: DataFrame) -> DataFrame:
-    """Latest open or acknowledged incident per key."""
+    """Latest open or acknowledged incident per key: ``live_id`` and the match key."""
     live = incidents.where(F.col("status").isin(*LIVE_INCIDENT_STATUSES))
-    return first_per_key(
-        live.select("incident_id", *INCIDENT_KEY, "created_at"),
-        INCIDENT_KEY,
+    newest = first_per_key(
+        _keyed(live).select("incident_id", *MATCH_KEY, "created_at"),
+        MATCH_KEY,
         [F.desc_nulls_first("created_at"), F.desc("incident_id")],
     )
+    return newest.select(*MATCH_KEY, F.col("incident_id").cast("string").alias("live_id"))
 
 
 def resolve_incidents(incidents: DataFrame, anomalies: DataFrame) -> DataFrame:
@@ -55,18 +55,19 @@ def resolve_incidents(incidents: DataFrame, anomalies: DataFrame) -> DataFrame:
     severity and details from the key's first anomaly. Both sides of the join hold one
     row per key, so a hot key is no wider than any other.
     """
-    founder = first_per_key(anomalies, INCIDENT_KEY, [F.asc("detected_at"), F.asc("anomaly_id")])
-    live = live_incidents(incidents).withColumnRenamed("incident_id", "live_id")
-    joined = founder.join(live, _same_key(founder, live), "left")
-    new_id = digest(*[founder[k] for k in INCIDENT_KEY], founder["anomaly_id"])
+    if "details" not in anomalies.columns:
+        anomalies = anomalies.withColumn("details", F.lit(None).cast("string"))
+    founder = first_per_key(_keyed(anomalies), MATCH_KEY, [F.asc("detected_at"), F.asc("anomaly_id")])
+    joined = founder.join(live_incidents(incidents), MATCH_KEY, "left")
+    new_id = digest(*[F.col(k) for k in INCIDENT_KEY], F.col("anomaly_id"))
     return joined.select(
-        *[founder[k] for k in INCIDENT_KEY],
-        F.coalesce(live["live_id"].cast("string"), new_id).alias("incident_id"),
-        live["live_id"].isNull().alias("is_new"),
-        founder["anomaly_id"].cast("string").alias("founder_id"),
-        founder["severity"],
-        founder["details"] if "details" in anomalies.columns else F.lit(None).cast("string").alias("details"),
-        incident_title(*[founder[k] for k in INCIDENT_KEY]).alias("title"),
+        *INCIDENT_KEY,
+        F.coalesce("live_id", new_id).alias("incident_id"),
+        F.col("live_id").isNull().alias("is_new"),
+        F.col("anomaly_id").cast("string").alias("founder_id"),
+        "severity",
+        "details",
+        incident_title(*[F.col(k) for k in INCIDENT_KEY]).alias("title"),
     )
 
 
@@ -100,9 +101,9 @@ def link_incidents(links: DataFrame, resolved: DataFrame, anomalies: DataFrame,
     exchange right below the join on both sides, so the small side is spread by
     another column first instead of keeping the partitioning it was built with.
     """
-    resolved = resolved.repartition("incident_id")
-    pairs = anomalies.join(resolved, _same_key(anomalies, resolved)).select(
-        resolved["incident_id"], anomalies["anomaly_id"].cast("string").alias("anomaly_id"),
-        instant(as_of).alias("linked_at"),
+    resolved = _keyed(resolved).select(*MATCH_KEY, "incident_id").repartition("incident_id")
+    members = _keyed(anomalies).select(*MATCH_KEY, F.col("anomaly_id").cast("string").alias("anomaly_id"))
+    pairs = members.join(resolved, MATCH_KEY).select(
+        "incident_id", "anomaly_id", instant(as_of).alias("linked_at")
     )
     return insert_or_ignore(links, pairs, KEYS["ops_incident_anomaly"], [F.asc("linked_at")])

@@ -8,7 +8,6 @@ before the shuffle, so copies of one key never meet in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -87,14 +86,13 @@ def insert_or_ignore(
 ) -> DataFrame:
     """Source rows that a sequence of "insert, on conflict do nothing" would store.
 
-    The first source row per key in ``order``, unless the target has the key. The
-    reduced source keeps its partitioning for the anti join; only the key columns
-    of the target are read. Null keys match nulls.
+    The first source row per key in ``order``, unless the target has the key. Keys are
+    not null (nullable parts have a stand-in column for this). The reduced source
+    keeps its partitioning for the anti join, so it is shuffled once; of the target
+    only the key columns are read.
     """
-    known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    fresh = first_per_key(source, keys, order)
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
-    return fresh.join(known, match, "left_anti")
+    known = target.select(*keys)
+    return first_per_key(source, keys, order).join(known, list(keys), "left_anti").select(*source.columns)
 
 
 def history(

@@ -68,48 +68,56 @@ def payload_rows(
     """One row per document and metric with a value at the chosen hour.
 
     A missing series, an hour beyond the end of a series and a null value give no
-    row. ``slice`` keeps what the row was made from, nothing more.
+    row. ``source_payload`` keeps what the row was made from, nothing more.
     """
     picked = pick_hours(documents, as_of).where(F.col("hour_index").isNotNull())
-    entries = F.array(*[_entry(m, provider) for m in metrics])
-    kept = F.filter(entries, lambda e: e["value_num"].isNotNull() | e["value_text"].isNotNull())
+    entries = F.array(*[_entry(m) for m in metrics])
+    kept = F.filter(entries, lambda e: e["number"].isNotNull() | e["text"].isNotNull())
     exploded = picked.select(
-        "station_external_id", "observed_at", F.inline(kept)
+        "station_external_id", "observed_at", "latitude", "longitude", "chosen_time", F.inline(kept)
     )
     return exploded.select(
         F.lit(provider).alias("source"),
         "station_external_id",
         "observed_at",
         "metric_code",
-        "value_num",
-        "value_text",
+        F.col("number").cast(DECIMAL).alias("value_num"),
+        F.col("text").alias("value_text"),
         "unit",
         F.lit(None).cast("string").alias("quality_flag"),
-        "source_payload",
+        F.when(F.col("text").isNull(), _slice(provider, F.col("number")))
+        .otherwise(_slice(provider, F.col("text")))
+        .alias("source_payload"),
     )
 
 
-def _entry(metric: PayloadMetric, provider: str) -> Column:
+def _entry(metric: PayloadMetric) -> Column:
+    """A metric at the chosen hour, with its value routed by kind."""
     value = F.get(F.col(f"hourly.{metric.field}"), F.col("hour_index"))
     numeric = metric.kind == "num"
-    payload = details_json(
+    return F.struct(
+        F.lit(metric.code).alias("metric_code"),
+        F.lit(metric.field).alias("field"),
+        F.lit(metric.unit).alias("unit"),
+        source_unit(F.col("hourly_units"), metric).alias("source_unit"),
+        (value if numeric else F.lit(None)).cast("double").alias("number"),
+        (F.lit(None) if numeric else value).cast("string").alias("text"),
+    )
+
+
+def _slice(provider: str, value: Column) -> Column:
+    """What a row was made from, as JSON; only built for rows that are kept."""
+    return details_json(
         F.lit(provider).alias("provider"),
         F.col("station_external_id"),
         F.col("latitude"),
         F.col("longitude"),
         F.col("chosen_time").alias("observed_at"),
-        F.lit(metric.field).alias("field"),
-        F.lit(metric.code).alias("metric_code"),
-        source_unit(F.col("hourly_units"), metric).alias("unit"),
+        F.col("field"),
+        F.col("metric_code"),
+        F.col("source_unit").alias("unit"),
         value.alias("value"),
     )
-    return F.struct(
-        F.lit(metric.code).alias("metric_code"),
-        (value.cast(DECIMAL) if numeric else F.lit(None).cast(DECIMAL)).alias("value_num"),
-        (F.lit(None).cast("string") if numeric else value.cast("string")).alias("value_text"),
-        F.lit(metric.unit).alias("unit"),
-        payload.alias("source_payload"),
-    )
 
 
 def source_unit(units: Column, metric: PayloadMetric) -> Column:

@@ -20,15 +20,16 @@ def _freshness(last: Column, now: Column) -> Column:
     )
 
 
-def _freshness_columns(now: Column) -> list[Column]:
-    last = F.col("last_observed_at")
-    return [
+def _with_freshness(seen: DataFrame, as_of: Instant, *columns: str) -> DataFrame:
+    now, last = F.col("_now"), F.col("last_observed_at")
+    return seen.withColumn("_now", instant(as_of)).select(
+        *columns,
         last,
         (now - last).alias("staleness"),
         elapsed_seconds(now, last).alias("staleness_seconds"),
         _freshness(last, now).alias("freshness"),
         last.alias("last_seen"),
-    ]
+    )
 
 
 def station_freshness(fact: DataFrame, station: DataFrame, as_of: Instant = None) -> DataFrame:
@@ -39,17 +40,14 @@ def station_freshness(fact: DataFrame, station: DataFrame, as_of: Instant = None
     """
     seen = fact.groupBy("station_id").agg(F.max("observed_at").alias("last_observed_at"))
     stations = monitored(station).select("station_id", "station_name")
-    return stations.join(seen, "station_id", "left").select(
-        "station_id", "station_name", *_freshness_columns(instant(as_of))
-    )
+    return _with_freshness(stations.join(seen, "station_id", "left"), as_of, "station_id", "station_name")
 
 
 def station_metric_freshness(fact: DataFrame, station: DataFrame, as_of: Instant = None) -> DataFrame:
     """The same per station and metric; stations without facts keep one row without a metric."""
     stations = monitored(station).select("station_id", "station_name")
-    return stations.join(last_seen_by_series(fact), "station_id", "left").select(
-        *SERIES, "station_name", *_freshness_columns(instant(as_of))
-    )
+    seen = stations.join(last_seen_by_series(fact), "station_id", "left")
+    return _with_freshness(seen, as_of, *SERIES, "station_name")
 
 
 def worst_station_freshness(freshness: DataFrame) -> DataFrame:
@@ -101,13 +99,14 @@ def platform_status(
     )
     last_ingest = runs.where((F.col("job_name") == ingest_job) & (F.col("status") == "succeeded"))
     facts = fact.sparkSession.range(1).select(
+        now.alias("evaluated_at"),
         unresolved.alias("open_incidents"),
         newest.alias("newest"),
         bad.agg(F.count("*").cast("int")).scalar().alias("bad_checks"),
         last_ingest.agg(F.max("started_at")).scalar().alias("last_ingest"),
     )
     aged = facts.withColumn(
-        "worst_freshness_minutes", F.greatest(F.lit(0), whole_minutes(now, F.col("newest")))
+        "worst_freshness_minutes", F.greatest(F.lit(0), whole_minutes(F.col("evaluated_at"), F.col("newest")))
     )
     amber = (F.col("worst_freshness_minutes") > settings.FRESHNESS_OBJECTIVE_MINUTES) | (F.col("bad_checks") > 0)
     return aged.select(
@@ -116,7 +115,7 @@ def platform_status(
         "bad_checks",
         "open_incidents",
         "last_ingest",
-        now.alias("evaluated_at"),
+        "evaluated_at",
     )
 
 
