@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -67,7 +67,7 @@ DOCUMENT_METRICS = (
     PayloadMetric("signup", "signup_series", "USD"),
     PayloadMetric("error", "error_series", "code", "text"),
 )
-DOCUMENT_TIME = datetime(2024, 1, 30, 12, 0)
+DOCUMENT_TIME = datetime(2024, 1, 30, 12, 0, tzinfo=timezone.utc)
 
 
 def plain(df: DataFrame) -> DataFrame:

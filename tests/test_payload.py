@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timezone
 
+import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -86,3 +87,9 @@ def test_an_offset_in_the_time_text_is_ignored(spark):
     assert rows(df.select(payload.utc_time(F.col("t")).alias("t"))) == [
         (at("2024-01-30 12:00:00"),), (at("2024-01-30 12:00:30"),)
     ]
+
+
+def test_a_malformed_document_is_not_dropped(spark, tmp_path):
+    (tmp_path / "docs.json").write_text('{"station_external_id": "s1"\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|FAILED_READ_FILE"):
+        payload.payload_rows(read_payloads(spark, str(tmp_path)), NOW).collect()

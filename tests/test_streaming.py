@@ -1,3 +1,4 @@
+import json
 from datetime import timedelta
 from decimal import Decimal
 
@@ -8,12 +9,17 @@ from acceptance.given import METRIC_ROWS
 from conftest import at, rows
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.operators import detectors
+from tidewarden.operators.quality import contract_violations
 from tidewarden.operators.series import series_heads
 from tidewarden.operators.transform import latest_facts
+from tidewarden.plans import jobs
 from tidewarden.schemas import SCHEMAS
 from tidewarden.session import shared_folder
+from tidewarden.sources import dictionary
+from tidewarden.sources.payloads import stream_payloads
 from tidewarden.sources.warehouse import Warehouse
 from tidewarden.streaming.heads import HeadStore, jumps_on_arrival, observed_heads, quiet_detectors, update_heads
+from tidewarden.streaming.ingest import start_ingest
 from tidewarden.streaming.transform import start_transform
 
 NOW = at("2024-03-01 00:00:00")
@@ -105,3 +111,26 @@ def test_heads_take_corrections_before_choosing(spark):
     heads = frame((hour(1), 1, hour(1)), (hour(2), 2, hour(2)))
     facts = frame((hour(2), 7, hour(9)), (hour(1), 8, hour(0)), (hour(0), 5, hour(9)), (hour(3), 4, hour(9)))
     assert rows(update_heads(heads, facts), "observed_at", "value_num") == [(hour(2), Decimal(7)), (hour(3), Decimal(4))]
+
+
+def test_landed_documents_as_a_stream(spark, station, tmp_path):
+    metrics = dictionary.default_metrics(spark)
+    wh = Warehouse(spark, shared_folder(spark, "tables"))
+    wh.overwrite("dim_station", station.withColumns({"lat": F.lit(1), "lon": F.lit(2), **{
+        c: F.lit(None) for c in ("source", "station_name", "state", "region", "valid_from", "valid_to")}}))
+    wh.overwrite("dim_metric", metrics)
+    for n, value in enumerate((10.0, 18.5)):
+        (tmp_path / f"{n}.json").write_text(json.dumps({
+            "station_external_id": "1", "hourly": {"time": [f"2024-03-01T0{n}:00"], "temperature_2m": [value], "weather_code": [3]}}))
+    documents = stream_payloads(spark, str(tmp_path), files_per_trigger=1)
+    start_ingest(documents, wh, shared_folder(spark, "checkpoint"), lambda: hour(2)).awaitTermination()
+    runs = wh.read("ops_job_run")
+    assert rows(runs, "status", "rows_inserted") == [("succeeded", 2), ("succeeded", 2)]
+    jobs.transform_runs(wh, hour(3), unit_factors=dictionary.default_unit_factors(spark))
+    facts = wh.read("fact_observation")
+    assert [float(v) for (v,) in rows(facts, "value_num")] == [10.0, 18.5]
+    # The code without a metric is reported, and the detector limit is found by its alias.
+    assert rows(contract_violations(wh.read("raw_observations"), metrics), "metric_code", "problem") == [
+        ("temperature_2m", "unit_mismatch"), ("weather_code", "unknown_metric")]
+    found = detectors.detect_all(detectors.Observed(facts, wh.read("dim_station"), metrics), as_of=hour(2))
+    assert rows(found.where("anomaly_type = 'spike'"), "station_id", "metric_id") == [(1, 1)]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timezone
 from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql.types import DecimalType, StructType, TimestampType
 
 from tidewarden.schemas import DECIMAL
 
@@ -28,6 +29,9 @@ def constant_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | Str
         if isinstance(field.dataType, DecimalType):
             step = Decimal(1).scaleb(-field.dataType.scale)
             values = [None if v is None else Decimal(str(v)).quantize(step) for v in values]
+        if isinstance(field.dataType, TimestampType):
+            # As everywhere in PySpark, a datetime without a zone is local time.
+            values = [None if v is None else v.astimezone(timezone.utc) for v in values]
         columns[field.name] = values
     return spark.createDataFrame(pa.Table.from_pydict(columns, schema=to_arrow_schema(struct)), struct)
 
@@ -39,22 +43,36 @@ def pinned(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     with a known size, so a join with it is a broadcast join and the large side is not
     shuffled by a handful of hot values. A longer list is returned as it is.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return constant_frame(df.sparkSession, [tuple(r) for r in rows], df.schema)
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def per_code(config: Mapping[str, Any] | DataFrame, df: DataFrame, code: str, name: str) -> DataFrame:
-    """Attach the configured decimal of ``code`` as ``name``; rows without one are dropped.
+def metric_limits(metric: DataFrame, config: Mapping[str, Any] | DataFrame, name: str) -> DataFrame:
+    """``(metric_id, metric_code, name)`` of the metrics that have a configured limit.
 
-    A mapping becomes one literal map (no join); a ``(metric_code, threshold)``
-    frame is joined on the code.
+    A metric is looked up by its code, then by the names in an ``aliases`` array. The
+    configuration is a mapping, which becomes one literal map, or a
+    ``(metric_code, threshold)`` frame. Both sides are as small as the dictionary.
     """
+    names = metric.select("metric_id", "metric_code", F.posexplode(metric_names(metric)).alias("_nth", "_name"))
     if isinstance(config, DataFrame):
-        pairs = config.select(F.col("metric_code").alias(code), F.col("threshold").cast(DECIMAL).alias(name))
-        return df.join(pairs.where(F.col(name).isNotNull()), code)
-    return df.withColumn(name, _config_lookup(config, F.col(code))).where(F.col(name).isNotNull())
+        pairs = config.select(F.col("metric_code").alias("_name"), F.col("threshold").cast(DECIMAL).alias(name))
+        found = names.join(pairs, "_name")
+    else:
+        found = names.withColumn(name, _config_lookup(config, F.col("_name")))
+    return (
+        found.where(F.col(name).isNotNull())
+        .groupBy("metric_id", "metric_code")
+        .agg(F.min_by(name, "_nth").alias(name))
+    )
+
+
+def metric_names(metric: DataFrame) -> Column:
+    """All names of a metric: the code first, then the aliases if the frame has them."""
+    codes = F.array("metric_code")
+    if "aliases" in metric.columns:
+        codes = F.array_distinct(F.concat(codes, F.coalesce("aliases", F.array().cast("array<string>"))))
+    return codes
 
 
 def _config_lookup(config: Mapping[str, Any], code: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewarden import settings
 from tidewarden.functions.clock import Instant, elapsed_minutes, instant, minutes
-from tidewarden.functions.lookup import per_code
+from tidewarden.functions.lookup import metric_limits
 from tidewarden.functions.text import details_json
 from tidewarden.operators.series import (
     SERIES, last_seen_by_series, last_seen_by_station, latest_pairs, series_heads, since,
@@ -79,8 +79,7 @@ def jump_findings(
     recent = latest_pairs(heads).where(
         F.col("prev_observed_at") >= F.col("last_observed_at") - minutes(lookback_minutes)
     )
-    coded = recent.join(metric.select("metric_id", "metric_code"), "metric_id")
-    limited = per_code(thresholds, coded, "metric_code", "threshold")
+    limited = recent.join(metric_limits(metric, thresholds, "threshold"), "metric_id")
     jumped = limited.where((delta if rising else -delta) > F.col("threshold"))
     return _watch(jumped, station).select(
         *SERIES,
@@ -117,10 +116,8 @@ def flatline_findings(
         F.min("value_num").alias("min_value"),
         F.max("value_num").alias("max_value"),
     )
-    coded = spans.where(F.col("points") >= min_points).join(
-        metric.select("metric_id", "metric_code"), "metric_id"
-    )
-    limited = per_code(epsilons, coded, "metric_code", "epsilon").withColumn(
+    enough = spans.where(F.col("points") >= min_points)
+    limited = enough.join(metric_limits(metric, epsilons, "epsilon"), "metric_id").withColumn(
         "range", F.col("max_value") - F.col("min_value")
     )
     return _watch(limited.where(F.col("range") <= F.col("epsilon")), station).select(

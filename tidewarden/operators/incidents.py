@@ -28,7 +28,8 @@ def stamp_anomalies(found: DataFrame, as_of: Instant) -> DataFrame:
 
 def new_anomalies(anomalies: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch rows to insert: first per type, station, metric and hour, unless stored already."""
-    return insert_or_ignore(anomalies, batch, KEYS["ops_anomaly"], [F.asc("detected_at"), F.asc("anomaly_id")])
+    order = [F.asc(c) for c in ("detected_at", "anomaly_id", "details") if c in batch.columns]
+    return insert_or_ignore(anomalies, batch, KEYS["ops_anomaly"], order)
 
 
 def _keyed(df: DataFrame) -> DataFrame:

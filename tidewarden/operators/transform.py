@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewarden.functions.clock import hours
+from tidewarden.functions.lookup import metric_names
 from tidewarden.operators.merge import latest_wins
 from tidewarden.schemas import DECIMAL, KEYS
 from tidewarden.settings import ALLOWED_LATENESS_HOURS
 
 FACT_KEY = KEYS["fact_observation"]
+# Decide between rows of one key that were stored at the same time.
+TIES = ("ingest_run_id", "source", "value_num")
 
 
 def late(ingested_at: Column, observed_at: Column, allowed_hours: int = ALLOWED_LATENESS_HOURS) -> Column:
@@ -33,10 +36,7 @@ def station_lookup(station: DataFrame) -> DataFrame:
 
 def metric_lookup(metric: DataFrame) -> DataFrame:
     """Metric code to key; further names in an ``aliases`` array count as codes too."""
-    codes = F.array("metric_code")
-    if "aliases" in metric.columns:
-        codes = F.array_distinct(F.concat(codes, F.coalesce("aliases", F.array().cast("array<string>"))))
-    return metric.select("metric_id", F.explode(codes).alias("metric_code"))
+    return metric.select("metric_id", F.explode(metric_names(metric)).alias("metric_code"))
 
 
 def ambiguous_stations(station: DataFrame) -> DataFrame:
@@ -64,10 +64,13 @@ def latest_facts(
     raw: DataFrame,
     station: DataFrame,
     metric: DataFrame,
-    order: Sequence[str] = ("ingested_at",),
+    order: Sequence[str] = ("ingested_at", *TIES),
     allowed_hours: int = ALLOWED_LATENESS_HOURS,
 ) -> DataFrame:
-    """:func:`to_facts` with one row per fact key, the newest by ``order``."""
+    """:func:`to_facts` with one row per fact key, the newest by ``order``.
+
+    ``order`` should leave no ties: a task that is computed again must choose the same row.
+    """
     newest = latest_wins(to_facts(raw, station, metric, allowed_hours), FACT_KEY, order)
     return newest.select(
         *FACT_KEY, "value_num", "source", "ingested_at", "is_late", "ingest_run_id"

@@ -24,14 +24,16 @@ from tidewarden.sources.warehouse import DAYS, Warehouse, staged, touched_days
 RAW, FACT = "raw_observations", "fact_observation"
 
 
-def run_identity(job: str, as_of: datetime) -> str:
-    """Run id of a job at a time; running again at the same ``as_of`` is the same run."""
-    return hashlib.sha256(f"{job}|{as_of.isoformat()}".encode()).hexdigest()[:32]
+def run_identity(job: str, name: str) -> str:
+    """Run id of a job; the same name (by default the time it stands for) is the same run."""
+    return hashlib.sha256(f"{job}|{name}".encode()).hexdigest()[:32]
 
 
-def _with_ledger(wh: Warehouse, job: str, as_of: datetime, body: Callable[[str], dict]) -> str:
+def _with_ledger(
+    wh: Warehouse, job: str, as_of: datetime, body: Callable[[str], dict], run_name: str = ""
+) -> str:
     """Run ``body(run_id)`` between a start and a finish row; a failure is recorded and raised."""
-    run_id = run_identity(job, as_of)
+    run_id = run_identity(job, run_name or as_of.isoformat())
     wh.append("ops_job_event", ledger.ledger_start(wh.spark, run_id, job, as_of))
     try:
         counts = body(run_id)
@@ -83,6 +85,21 @@ def _first_or_empty(df: DataFrame) -> dict:
     return row.asDict() if row else {}
 
 
+def ingest_frame(
+    wh: Warehouse,
+    documents: DataFrame,
+    as_of: datetime,
+    metrics: Sequence[settings.PayloadMetric] = settings.PAYLOAD_METRICS,
+    provider: str = settings.PROVIDER,
+    run_name: str = "",
+) -> str:
+    """Documents to raw observations as one run; ``run_name`` tells apart runs of one time."""
+    job = settings.INGEST_JOB
+    return _with_ledger(
+        wh, job, as_of, lambda run: ingest_documents(wh, documents, as_of, run, metrics, provider), run_name
+    )
+
+
 def ingest(
     wh: Warehouse,
     payload_path: str,
@@ -91,10 +108,7 @@ def ingest(
     provider: str = settings.PROVIDER,
 ) -> str:
     """Landed documents to raw observations. Returns the run id."""
-    documents = read_payloads(wh.spark, payload_path, metrics)
-    return _with_ledger(
-        wh, settings.INGEST_JOB, as_of, lambda run: ingest_documents(wh, documents, as_of, run, metrics, provider)
-    )
+    return ingest_frame(wh, read_payloads(wh.spark, payload_path, metrics), as_of, metrics, provider)
 
 
 def transform_pending(
@@ -102,7 +116,7 @@ def transform_pending(
     station: DataFrame,
     metric: DataFrame,
     runs: DataFrame,
-    tie_order: Sequence[str] = (),
+    tie_order: Sequence[str] = ("source", "value_num"),
 ) -> DataFrame:
     """Facts of the given runs in one plan.
 
@@ -159,7 +173,8 @@ def transform_runs(
             raw = transform.normalize_units(raw, unit_factors)
         facts = staged(transform.to_facts(raw, wh.read("dim_station"), wh.read("dim_metric")), "transform-facts")
         columns = SCHEMAS[FACT].fieldNames()
-        newest = transform.latest_wins(facts, KEYS[FACT], ["run_started_at", "ingest_run_id", "ingested_at"])
+        order = ["run_started_at", "ingest_run_id", "ingested_at", "source", "value_num"]
+        newest = transform.latest_wins(facts, KEYS[FACT], order)
         wh.merge_facts(newest.select(*columns))
         stats = ledger.run_watermarks(facts.select("ingest_run_id", "observed_at"))
     except Exception as error:

@@ -13,8 +13,11 @@ from tidewarden.settings import PAYLOAD_METRICS, PayloadMetric
 def read_payloads(
     spark: SparkSession, path: str, metrics: Sequence[PayloadMetric] = PAYLOAD_METRICS
 ) -> DataFrame:
-    """One document per JSON line, read with the contract schema."""
-    return spark.read.schema(payload_schema(metrics)).json(path)
+    """One document per JSON line, read with the contract schema.
+
+    A line that does not fit fails the read, so that no document is lost unseen.
+    """
+    return spark.read.schema(payload_schema(metrics)).json(path, mode="FAILFAST")
 
 
 def stream_payloads(
@@ -23,7 +26,8 @@ def stream_payloads(
     metrics: Sequence[PayloadMetric] = PAYLOAD_METRICS,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(payload_schema(metrics))
+    """The landing folder as a stream; options as in :func:`read_payloads`."""
+    reader = spark.readStream.schema(payload_schema(metrics)).option("mode", "FAILFAST")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)

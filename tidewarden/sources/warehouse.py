@@ -94,7 +94,7 @@ class Warehouse:
     def current_raw(self, days: Column) -> DataFrame:
         """Newest raw row per key on the given days."""
         rows = self.stored("raw_observations").where(days)
-        newest = latest_wins(rows, KEYS["raw_observations"], ["ingested_at", "ingest_run_id"])
+        newest = latest_wins(rows, KEYS["raw_observations"], ["ingested_at", "ingest_run_id", "source_payload"])
         return newest.select(*SCHEMAS["raw_observations"].fieldNames())
 
     def append(self, name: str, df: DataFrame) -> None:

@@ -33,7 +33,7 @@ def update_heads(heads: DataFrame, facts: DataFrame) -> DataFrame:
     """
     columns = heads.columns
     both = heads.unionByName(facts.select(*columns))
-    corrected = latest_wins(both, KEYS["fact_observation"], ["ingested_at"])
+    corrected = latest_wins(both, KEYS["fact_observation"], ["ingested_at", "value_num"])
     return first_per_key(corrected, SERIES, [F.desc("observed_at")], n=2).select(*columns)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewarden.operators.transform import latest_facts
+from tidewarden.operators.transform import TIES, latest_facts
 from tidewarden.sources.warehouse import Warehouse, staged
 
 
@@ -21,7 +21,7 @@ def start_transform(
     station: DataFrame,
     metric: DataFrame,
     checkpoint: str,
-    tie_order: Sequence[str] = (),
+    tie_order: Sequence[str] = TIES,
     and_then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Merge everything available now into the fact table and stop.
