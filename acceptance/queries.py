@@ -16,7 +16,7 @@ from acceptance.given import (
 )
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, security, transform
-from tidewarden.operators.merge import history, insert_or_ignore, latest_wins, upsert, upsert_counts
+from tidewarden.operators.merge import history, latest_wins, upsert, upsert_counts
 from tidewarden.operators.series import series_heads
 from tidewarden.plans import jobs, views
 from tidewarden.schemas import KEYS
@@ -623,7 +623,7 @@ HEALTH_SQL = """SELECT CASE job WHEN 'ingest' THEN 'ingest_openmeteo_all_station
 
 
 @query(HEALTH_SQL)
-def pipeline_health(g: Given) -> DataFrame:
+def job_health(g: Given) -> DataFrame:
     return views.pipeline_health(g.runs)
 
 

@@ -16,10 +16,11 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -52,7 +52,7 @@ def warehouse(spark, tmp_path):
     return wh
 
 
-def test_pipeline(spark, warehouse, tmp_path):
+def test_the_four_jobs(spark, warehouse, tmp_path):
     wh = warehouse
     first = jobs.ingest(wh, land(tmp_path / "h0", 0, [10, 10, 10]), START + timedelta(minutes=1))
     # The smoke-test station is not ingested.

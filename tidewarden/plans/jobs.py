@@ -147,7 +147,8 @@ def transform_runs(
     """All pending (or named) ingest runs to facts. Returns the number of runs handled."""
     work = staged(
         select_runs(wh.read("ops_job_run"), run_ids, retry_failed).select(
-            "run_id", "started_at", "watermark_from", "watermark_to"
+            "run_id", "started_at", "watermark_from", "watermark_to",
+            F.coalesce(F.col("rows_inserted") + F.col("rows_updated") > 0, F.lit(True)).alias("has_rows"),
         ),
         "transform-runs",
     )
@@ -155,7 +156,7 @@ def transform_runs(
         F.count("*"),
         F.to_date(F.min("watermark_from")),
         F.to_date(F.max("watermark_to")),
-        F.count_if(F.col("watermark_from").isNull()),
+        F.count_if(F.col("watermark_from").isNull() & F.col("has_rows")),
     ).first()
     if not found:
         return 0
@@ -165,7 +166,8 @@ def transform_runs(
     )
     wh.append("ops_job_event", ledger.events_for(child, settings.TRANSFORM_JOB, "started", as_of))
     try:
-        # The runs' watermarks bound the days to read; runs without rows have none.
+        # The runs' watermarks bound the days to read. Runs that stored nothing have none;
+        # one that may have stored rows without noting them makes it all days.
         partition = DAYS[RAW][0]
         days = F.col(partition).between(low, high) if not unbounded else F.lit(True)
         raw = transform.of_runs(wh.current_raw(days), work.select("run_id", F.col("started_at").alias("run_started_at")))
