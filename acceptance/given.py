@@ -349,11 +349,9 @@ def raw_from_events(events: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of its files."""
+    """The events table, a file or a folder of files, as a stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    stream = (
-        spark.readStream.schema(StructType.fromDDL(SCHEMAS["events"]))
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(StructType.fromDDL(SCHEMAS["events"]))
+    # A pattern, because a stream takes a plain path for a folder only.
+    stream = reader.parquet(f"{sf_dir.rstrip('/')}/{{events.parquet}}")
     return _zoned(stream)

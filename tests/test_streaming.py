@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from acceptance.given import METRIC_ROWS
+from acceptance.given import METRIC_ROWS, event_stream
 from conftest import at, rows
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.operators import detectors
@@ -134,3 +134,18 @@ def test_landed_documents_as_a_stream(spark, station, tmp_path):
         ("temperature_2m", "unit_mismatch"), ("weather_code", "unknown_metric")]
     found = detectors.detect_all(detectors.Observed(facts, wh.read("dim_station"), metrics), as_of=hour(2))
     assert rows(found.where("anomaly_type = 'spike'"), "station_id", "metric_id") == [(1, 1)]
+
+
+def test_an_event_folder_streams_like_an_event_file(spark, tmp_path):
+    """The given table may be one file or a folder of many."""
+    small = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+
+    def streamed(folder):
+        seen = []
+        query = event_stream(spark, folder).writeStream.foreachBatch(lambda batch, epoch: seen.append(batch.count()))
+        query.option("checkpointLocation", shared_folder(spark, "c")).trigger(availableNow=True).start().awaitTermination()
+        return sum(seen)
+
+    assert streamed(small) == streamed(str(tmp_path)) == events.count()
