@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm.common import WORD, kept, table
 
-SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\f\r"
+SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -21,7 +20,8 @@ MAX_REPEAT_PERCENT = 30
 SIGNALS = {
     "symbol_ratio": (0.02, False),
     "dup_line_ratio": (0.30, False),
-    "repeat_ratio": (0.10, False),
+    "repeat_ratio": (0.30, False),
+    "stutter_ratio": (0.10, False),
     "upper_ratio": (0.10, False),
     "mean_word": (1.0, True),
 }
@@ -33,12 +33,10 @@ RANKS = (0.1, 0.5, 0.9)
 
 def _base(text: Column) -> dict[str, Column]:
     text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     return {
         "words": F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)),
-        "lines": lines,
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD)),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_upper": F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long"),
     }
 
@@ -46,19 +44,21 @@ def _base(text: Column) -> dict[str, Column]:
 def _repeat_words(hashes: str) -> Column:
     """Words inside windows that occur twice or more, from the array of word hashes named ``hashes``.
 
-    The windows' (hash, place) are sorted; places of hashes with a neighbour alike are sorted again and every place
-    adds as many words as lie before the next one. Only texts with a repeated window pay for the sorting.
+    A repeated window repeats its first, fourth and last word at the same distances; texts in which no such triple
+    repeats are done. For the others the windows' (hash, place) are sorted, places of hashes with a neighbour alike
+    are sorted again, and every place adds as many words as lie before the next one, a window's length at most.
     """
     n = f"size({hashes})"
+    triples = f"transform({hashes}, (h, i) -> xxhash64(h, get({hashes}, i + 3), get({hashes}, i + {WINDOW - 1})))"
     windows = f"transform(sequence(1, {n} - {WINDOW - 1}), i -> xxhash64(slice({hashes}, i, {WINDOW})))"
     return F.expr(f"""
-        case when {n} < {WINDOW + 1} then 0L else
-          aggregate(array({windows}), 0L, (o, w) -> o + case when size(array_distinct(w)) = size(w) then 0L else
-            aggregate(array(array_sort(transform(w, (h, i) -> struct(h as h, i as i)))), 0L, (q, s) -> q +
+        case when {n} <= {WINDOW} then 0L else
+          aggregate(array({triples}), 0L, (o, t) -> case when size(array_distinct(t)) = size(t) then 0L else
+            aggregate(array(array_sort(transform({windows}, (h, i) -> struct(h as h, i as i)))), 0L, (q, s) ->
               aggregate(array(array_sort(transform(filter(
                   transform(s, (x, i) -> struct(x.i as i,
                     (i > 0 and x.h = get(s, i - 1).h) or (i < size(s) - 1 and x.h = get(s, i + 1).h) as twice)),
-                  x -> x.twice), x -> x.i))), 0L, (r, p) -> r +
+                  x -> x.twice), x -> x.i))), 0L, (r, p) ->
                 aggregate(transform(p, (x, i) -> if(i = size(p) - 1, {WINDOW}, least({WINDOW}, get(p, i + 1) - x))),
                   0L, (a, x) -> a + x)))
           end)
@@ -76,8 +76,10 @@ def with_signals(documents: DataFrame) -> DataFrame:
     df = df.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
     df = (
         df.withColumn("n_words", F.size("words").cast("long"))
+        .withColumn("word_chars", F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))
         .withColumn("n_lines", F.size("lines").cast("long"))
         .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
+        .withColumn("n_stutters", F.size(F.filter("hashes", lambda x, i: x == F.get("hashes", i + 1))).cast("long"))
         .withColumn("n_repeat_words", _repeat_words("hashes").cast("long"))
         .drop("words", "lines", "hashes")
     )
@@ -88,6 +90,7 @@ def with_signals(documents: DataFrame) -> DataFrame:
         .withColumn("symbol_ratio", per("n_symbols", "word_chars"))
         .withColumn("dup_line_ratio", per("n_dup_lines", "n_lines"))
         .withColumn("repeat_ratio", per("n_repeat_words", "n_words"))
+        .withColumn("stutter_ratio", per("n_stutters", "n_words"))
         .withColumn("upper_ratio", per("n_upper", "word_chars"))
         .withColumn("mean_word", per("word_chars", "n_words"))
     )
