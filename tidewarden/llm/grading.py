@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm.common import kept, table, text_batches
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 21
 SAMPLE_ROWS = 8000
 GRADES = 3
 EPOCHS = 300
 RATE = 0.05
 DECAY = 1e-4
-MIN_TOP = 0.5
+LEAST_DOCS = 4
+MIN_TOP = 0.55
+# Weight of a word in a text of n words: n to minus this power.
+DAMPING = 0.35
 
 
 class Model(NamedTuple):
@@ -31,7 +34,7 @@ class Model(NamedTuple):
 def features(texts, buckets: int = BUCKETS):
     """Sparse rows (indptr, bucket, value): presence of lower-cased words, and the share of characters by class.
 
-    Words are cut at ASCII white space and stripped of punctuation; the rows have length one, the shares come on top.
+    Words are cut at ASCII white space and stripped of punctuation; long texts are damped, the shares come on top.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -51,7 +54,7 @@ def features(texts, buckets: int = BUCKETS):
     key = np.unique(doc * buckets + word_bucket[codes])
     rows, cols = key // buckets, key % buckets
     per = np.bincount(rows, minlength=len(counts))
-    values = 1.0 / np.sqrt(np.maximum(per[rows], 1))
+    values = np.maximum(per[rows], 1) ** -DAMPING
     n = np.maximum(counts, 1)
     dense = np.stack([
         np.bincount(doc, weights=shape[codes, 0], minlength=len(counts)) / n,
@@ -76,12 +79,15 @@ def raw_scores(model: Model, texts) -> np.ndarray:
 def fit(texts, grades: np.ndarray, n_grades: int = GRADES, buckets: int = BUCKETS, epochs: int = EPOCHS) -> Model:
     """Full-batch Adam on the cumulative-link likelihood; thresholds are a first one plus positive steps."""
     rows, cols, values, dense = features(texts, buckets)
+    # Words of very few rated documents say nothing about others.
+    often = np.bincount(cols, minlength=buckets)[cols] >= LEAST_DOCS
+    rows, cols, values = rows[often], cols[often], values[often]
     used, local = np.unique(cols, return_inverse=True)
     n, k = len(grades), n_grades - 1
     w, tail = np.zeros(len(used) + dense.shape[1]), np.r_[-1.0, np.zeros(k - 1)]
     above = (grades[:, None] > np.arange(k)[None, :]).astype(float)
-    # Every grade weighs the same, however rare.
-    weight = (n / (n_grades * np.maximum(np.bincount(grades, minlength=n_grades), 1)))[grades][:, None]
+    # Rare grades weigh more, by the root of their rarity.
+    weight = np.sqrt(n / (n_grades * np.maximum(np.bincount(grades, minlength=n_grades), 1)))[grades][:, None]
     state = [np.zeros(len(w) + k), np.zeros(len(w) + k)]
     for step in range(1, epochs + 1):
         score = np.bincount(rows, weights=values * w[local], minlength=n) + dense @ w[len(used):]
