@@ -150,8 +150,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     plain = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
     edges = kept(plain.mapInPandas(_local_forest, "a long, b long"), "forest")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
         # Larger neighbours of a node point at the node's smallest neighbour ...
@@ -162,8 +161,13 @@ def components(links: DataFrame) -> DataFrame:
         edges = kept(
             small.select(F.col("low").alias("a"), "b").unionByName(small.select(F.col("low").alias("a"), F.col("a").alias("b")))
             .where("a < b").distinct(), "forest")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if now == before:
-            return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(
-                edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())
-        before = now
+    return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(
+        edges.select(F.col("a").alias("id"), F.col("a").alias("component"))).distinct()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or only larger ones."""
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(None).cast("long").alias("a")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("low"), "a"))
+    return roles.groupBy("node").agg(F.max("low").alias("low"), F.min("a").alias("x"), F.max("a").alias("y")).where(
+        "x < y or (low = 1 and x is not null)").isEmpty()

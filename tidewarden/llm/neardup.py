@@ -1,10 +1,10 @@
 """Groups of similar sets from shared signatures: a star first, then only what the star left open.
 
-Both near-duplicate operators write postings (key, id, n, chosen): ``id`` has a set of ``n`` items and one of its
-signatures is ``key``; two sets are candidates when they share a key that at least one of them chose. All pairs of a
-key would grow with the square of a group of near copies. Instead every member is compared with the key's smallest
-id. After those links are united, a key whose members are all in one component has nothing left to say; only members
-of different components are compared with each other. The components are those of all links.
+Both near-duplicate operators write postings (key, id, chosen): one of the signatures of ``id`` is ``key``; two sets
+are candidates when they share a key that at least one of them chose. All pairs of a key would grow with the square
+of a group of near copies. Instead every member is compared with the key's most central one. A key whose members are
+then all known to be of one component has nothing left to say; only members not known to be connected are compared
+with each other. The components are those of all links.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm.common import components, kept
 
-POSTING_SCHEMA = "key long, id long, n int, chosen boolean"
+POSTING_SCHEMA = "key long, id long, chosen boolean, weight int"
+CLASSES = 96
 PACKED_SCHEMA = "bucket int, packed binary"
 # Entries of one key that one batch packs; the rest of them go unpacked, so that a bucket stays small.
 LOCALLY_HOT = 64
-# Bucket numbers below zero: postings known to be shared, and sizes of sets.
-HOT, SIZES = -1, -2
+# Bucket number of postings known to be shared.
+HOT = -1
 
 
 def _blob(keys: np.ndarray, ids: np.ndarray) -> bytes:
@@ -41,8 +42,14 @@ def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return keys, ids + low if width == 4 else ids
 
 
-def pack_postings(keys: np.ndarray, ids: np.ndarray, chosen: np.ndarray, all_ids: np.ndarray, sizes: np.ndarray, buckets: int):
-    """Postings of a batch and the sizes of its sets as an Arrow batch (bucket, packed), one row per bucket of keys.
+def profile(items: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Items per class of each of n sets, a row per set."""
+    cell = owner * CLASSES + (items % np.uint64(CLASSES)).astype(np.int64)
+    return np.bincount(cell, minlength=n * CLASSES).astype(np.int32).reshape(n, CLASSES)
+
+
+def pack_postings(keys: np.ndarray, ids: np.ndarray, chosen: np.ndarray, buckets: int):
+    """Postings of a batch as an Arrow batch (bucket, packed), one row per bucket of keys.
 
     The lowest bit of a packed key says that it was chosen. A key with more than :data:`LOCALLY_HOT` entries in the
     batch leaves two of them in its bucket, to be seen there, and the others as postings already known to be shared.
@@ -67,47 +74,38 @@ def pack_postings(keys: np.ndarray, ids: np.ndarray, chosen: np.ndarray, all_ids
         for c in range(a, b, 100_000):
             numbers.append(int(bucket[a]))
             blobs.append(_blob(keys[c: min(b, c + 100_000)], ids[c: min(b, c + 100_000)]))
-    if len(all_ids):
-        numbers.append(SIZES)
-        blobs.append(_blob(sizes.astype(np.uint64), all_ids))
     return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
 
 
 def _shared(table):
-    """Of one bucket: the postings whose key another id has too, if somebody chose it; sizes have a null key."""
+    """Of one bucket: the postings whose key another id has too, if somebody chose it, and how many have it."""
     import pyarrow as pa
 
-    number = table.column("bucket")[0].as_py()
     parts = [_unblob(x.as_py()) for x in table.column("packed")]
     keys, ids = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    if number == SIZES:
-        n = len(keys)
-        return pa.table([pa.nulls(n, pa.int64()), pa.array(ids), pa.array(keys.astype(np.int32)), pa.nulls(n, pa.bool_())],
-                        names=["key", "id", "n", "chosen"])
     chosen = (keys & np.uint64(1)).astype(bool)
     keys = keys >> np.uint64(1)
-    if number != HOT:
+    weight = np.full(len(keys), LOCALLY_HOT)
+    if table.column("bucket")[0].as_py() != HOT:
         order = np.lexsort((ids, keys))
         keys, ids, chosen = keys[order], ids[order], chosen[order]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         counts = np.diff(np.r_[starts, len(keys)])
         wanted = (ids[starts] != ids[starts + counts - 1]) & np.logical_or.reduceat(chosen, starts)
         take = np.repeat(wanted, counts)
-        keys, ids, chosen = keys[take], ids[take], chosen[take]
-    return pa.table([pa.array(keys.view(np.int64)), pa.array(ids), pa.nulls(len(ids), pa.int32()), pa.array(chosen)],
-                    names=["key", "id", "n", "chosen"])
+        keys, ids, chosen, weight = keys[take], ids[take], chosen[take], np.repeat(counts, counts)[take]
+    return pa.table([pa.array(keys.view(np.int64)), pa.array(ids), pa.array(chosen), pa.array(weight.astype(np.int32))],
+                    names=["key", "id", "chosen", "weight"])
 
 
-def shared_postings(packed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(postings of keys that at least two ids have, (id, n) of all ids), from (bucket, packed). Stored.
+def shared_postings(packed: DataFrame) -> DataFrame:
+    """Postings (key, id, chosen, weight) of keys that at least two ids have, from (bucket, packed). Stored.
 
-    Keys are hashes, so buckets are even; hot entries and sizes are spread over tasks by a salt.
+    Keys are hashes, so buckets are even; hot entries are spread over tasks by a salt.
     """
     salt = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("packed"), F.lit(4096))).otherwise(0)
-    both = kept(packed.withColumn("salt", salt).groupBy("bucket", "salt").applyInArrow(_shared, POSTING_SCHEMA), "shared")
-    sizes = both.where("key is null").select("id", "n")
-    postings = both.where("key is not null").drop("n").distinct().join(sizes, "id")
-    return kept(postings.select("key", "id", "n", "chosen"), "postings"), sizes
+    grouped = packed.where(f"bucket >= {HOT}").withColumn("salt", salt).groupBy("bucket", "salt")
+    return kept(grouped.applyInArrow(_shared, POSTING_SCHEMA), "postings")
 
 
 def similar(percent: int) -> Column:
@@ -116,36 +114,57 @@ def similar(percent: int) -> Column:
     return 100 * common >= percent * (F.size("x") + F.size("y") - common)
 
 
-def linked_groups(postings: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, copies: DataFrame) -> DataFrame:
+def possible(percent: int) -> Column:
+    """Whether two profiles p and q allow the similarity: items per class differ by no more than sets may."""
+    apart = F.aggregate(F.zip_with("p", "q", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
+    total = F.aggregate("p", F.lit(0), lambda a, x: a + x) + F.aggregate("q", F.lit(0), lambda a, x: a + x)
+    # |A xor B| <= (1 - s) / (1 + s) * (|A| + |B|)
+    return (100 + percent) * apart <= (100 - percent) * total
+
+
+def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
+                  percent: int, copies: DataFrame | None = None) -> DataFrame:
     """(id, component) of the ids that have a link, from stored postings and the links (a, b) of known copies.
 
-    ``sets`` maps a frame of distinct ids to (id, items), items being the distinct members of the id's set as longs.
-    Links are pairs with 100 * intersection >= percent * union.
+    ``sets`` maps a frame of distinct ids to (id, items), items being the distinct members of the id's set as longs;
+    ``profiles`` to (id, profile), the number of items in each of a fixed number of classes. Links are pairs with
+    100 * intersection >= percent * union. Profiles rule most other candidates out before sets are moved.
+
+    A key's head is its most central member, the one whose keys have most members: of a group of near copies that is
+    the one nearest to their common origin, so that all of them are linked to it.
     """
-    near = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    heads = postings.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"))
-    star = (
-        postings.join(heads, "key").where((F.col("head.id") != F.col("id")) & near(F.col("head.n"), F.col("n")))
-        .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
-    )
-    star = kept(star, "star")
-    items = kept(sets(postings.select("id").distinct()), "sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
-        right = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
-        return pairs.join(left, "a").join(right, "b").where(similar(percent)).select("a", "b")
-
-    links = kept(verified(star), "links")
-    first = components(links.unionByName(copies))
-    placed = postings.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = kept(placed, "placed")
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    central = postings.groupBy("id").agg(F.sum("weight").alias("central"))
+    ranked = kept(postings.select("key", "id", "chosen").join(central, "id"), "ranked")
+    heads = ranked.groupBy("key").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("head"))
+    head = -F.col("head.minus")
+    star = kept(ranked.join(heads, "key").where(head != F.col("id")).select(
+        F.least(head, "id").alias("a"), F.greatest(head, "id").alias("b")).distinct(), "star")
+    shape = kept(profiles(postings.select("id").distinct()), "profiles")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        p, q = (shape.select(F.col("id").alias(x), F.col("profile").alias(y)) for x, y in ("ap", "bq"))
+        near = kept(pairs.join(p, "a").join(q, "b").where(possible(percent)).select("a", "b"), f"{name}-possible")
+        ids = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
+        items = kept(sets(ids), f"{name}-sets")
+        x, y = (items.select(F.col("id").alias(a), F.col("items").alias(b)) for a, b in ("ax", "by"))
+        return kept(near.join(x, "a").join(y, "b").where(similar(percent)).select("a", "b"), f"{name}-links")
+
+    links = verified(star, "star")
+    label = _near_labels(links)
+    placed = kept(ranked.join(label, "id", "left").select("key", "id", "chosen", F.coalesce("label", "id").alias("label")), "placed")
+    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     open_ = kept(placed.join(split, "key", "left_semi"), "open")
-    a = open_.select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "n", "chosen", "component")))
-    b = open_.select("key", *(F.col(c).alias(f"b_{c}") for c in ("id", "n", "chosen", "component")))
-    rest = a.join(b, "key").where(
-        (F.col("a_component") < F.col("b_component")) & (F.col("a_chosen") | F.col("b_chosen")) & near(F.col("a_n"), F.col("b_n")))
+    a = open_.select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "chosen", "label")))
+    b = open_.select("key", *(F.col(c).alias(f"b_{c}") for c in ("id", "chosen", "label")))
+    rest = a.join(b, "key").where((F.col("a_label") < F.col("b_label")) & (F.col("a_chosen") | F.col("b_chosen")))
     rest = rest.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
-    rest = kept(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    return components(links.unionByName(verified(rest)).unionByName(copies))
+    found = links.unionByName(verified(rest.join(star, ["a", "b"], "left_anti"), "rest"))
+    return components(found.unionByName(copies) if copies is not None else found)
+
+
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(id, label): ids of one label are in one component, though a component may have several labels."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = kept(both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("label")), "labels")
+    two = one.join(one.select(F.col("id").alias("label"), F.col("label").alias("further")), "label")
+    return two.select("id", F.col("further").alias("label"))

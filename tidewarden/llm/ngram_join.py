@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden.llm.common import BASE, INVERSE, byte_table, joined_bytes, kept, mixed, powers, ranges, table, text_batches
-from tidewarden.llm.neardup import PACKED_SCHEMA, linked_groups, pack_postings, shared_postings
+from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, linked_groups, pack_postings, profile, shared_postings
 
 WORDS = 5
 PERCENT = 80
 PER_SEGMENT = 3.6
-BUCKET_BYTES = 1 << 20
+BUCKET_SHINGLES = 200_000
 _LETTERS = byte_table(5)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -147,7 +147,7 @@ def _packed(buckets: int):
                 items, sizes = shingles(part.column(1))
                 keys, docs, chosen = signatures(items, sizes)
                 ids = pc.cast(part.column(0), pa.int64()).to_numpy(zero_copy_only=False)
-                yield pack_postings(keys, ids[docs], chosen, ids, sizes, buckets)
+                yield pack_postings(keys, ids[docs], chosen, buckets)
     return run
 
 
@@ -162,6 +162,25 @@ def _sets(batches):
                 [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(items.view(np.int64)))], names=["id", "items"])
 
 
+def _measured(batches):
+    """(doc_id, digest, n_shingles, profile) of each text."""
+    import hashlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        for part in text_batches([batch], "text"):
+            items, sizes = shingles(part.column(1))
+            n = len(sizes)
+            counts = profile(items, np.repeat(np.arange(n), sizes), n)
+            ends = np.arange(n + 1, dtype=np.int32) * CLASSES
+            digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(counts.ravel()))],
+                names=["doc_id", "digest", "n_shingles", "profile"])
+
+
 def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_copies) of every document.
 
@@ -172,22 +191,24 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     if percent != PERCENT:
         raise ValueError("bands and segments are laid out for a similarity of 0.8")
     plain = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    digests = kept(plain.select("doc_id", F.unhex(F.md5("text")).alias("digest"), F.octet_length("text").cast("long").alias("bytes")), "digests")
-    total = digests.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    classes = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies"))
-    digests = kept(digests.drop("bytes").join(classes, "digest"), "classes")
-    buckets = max(1, int(total) // BUCKET_BYTES)
-    postings, sizes = shared_postings(plain.mapInArrow(_packed(buckets), PACKED_SCHEMA))
-    sized = digests.join(sizes.withColumnRenamed("id", "doc_id"), "doc_id").groupBy("digest").agg(F.max("n").cast("long").alias("n_shingles"))
-    digests = kept(digests.join(sized, "digest"), "sized")
-
-    def sets(ids: DataFrame) -> DataFrame:
-        return plain.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "id long, items array<long>")
-
-    copies = digests.where("n_shingles > 0 and first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    groups = linked_groups(postings, sets, percent, copies)
-    return digests.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "n_copies")
+    measured = kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>"), "measured")
+    total = measured.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    several = measured.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).where("n_copies > 1")
+    several = kept(several, "copied")
+    facts = kept(measured.select("doc_id", "digest", "n_shingles").join(several, "digest", "left").drop("digest"), "facts")
+    buckets = max(1, int(total) // BUCKET_SHINGLES)
+    postings = shared_postings(plain.mapInArrow(_packed(buckets), PACKED_SCHEMA))
+
+    def rows_of(ids: DataFrame, frame: DataFrame) -> DataFrame:
+        return frame.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+
+    groups = linked_groups(
+        postings,
+        lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile"),
+        lambda ids: rows_of(ids, plain).mapInArrow(_sets, "id long, items array<long>"),
+        percent, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    return facts.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
