@@ -54,16 +54,16 @@ CTES = {
                o_orderdate AS started_at, NULL AS parent_run_id, o_orderkey % 10 AS digit
         FROM orders
         UNION ALL
-        SELECT 't-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey, 'transform',
+        SELECT 't-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'transform',
                CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'succeeded' END,
                l_shipdate, 'i-' || l_orderkey, l_orderkey % 10
-        FROM lineitem WHERE l_linenumber = 1""",
+        FROM lineitem""",
     "t_dq": """
         SELECT 'i-' || l_orderkey AS run_id, 'check_' || (l_suppkey % 8) AS check_name,
                CASE l_returnflag WHEN 'A' THEN 'pass' WHEN 'N' THEN 'warn' ELSE 'fail' END AS status,
                CASE WHEN l_partkey % 400 <> 0 THEN l_shipdate END AS evaluated_at,
                CAST(l_extendedprice AS DECIMAL(18,6)) AS metric_value, l_orderkey, l_partkey, l_suppkey
-        FROM lineitem WHERE l_linenumber = 2""",
+        FROM lineitem""",
     "t_anomaly": """
         SELECT event_id AS anomaly_id,
                CASE event_type WHEN 'click' THEN 'spike' WHEN 'view' THEN 'drop' WHEN 'signup' THEN 'flatline'
@@ -147,7 +147,7 @@ CTES = {
         UNION ALL SELECT 'spike', station_id, metric_id, 'medium' FROM t_pairs WHERE last_value - prev_value > 50
         UNION ALL SELECT 'drop', station_id, metric_id, 'medium' FROM t_pairs WHERE prev_value - last_value > 50
         UNION ALL SELECT 'flatline', station_id, metric_id, 'medium' FROM t_flat""",
-    "t_recent": "SELECT * FROM t_anomaly WHERE detected_at >= TIMESTAMP '2024-01-25'",
+    "t_recent": "SELECT * FROM t_anomaly",
     "t_live": """
         SELECT * FROM t_incident WHERE status IN ('open', 'acknowledged')
         QUALIFY row_number() OVER (PARTITION BY anomaly_type, station_id, metric_id
@@ -155,8 +155,10 @@ CTES = {
     "t_resolved": """
         SELECT a.anomaly_type, a.station_id, a.metric_id, a.severity,
                coalesce(l.incident_id,
-                        substr(sha256(a.anomaly_type || '|' || a.station_id || '|' ||
-                                      coalesce(CAST(a.metric_id AS VARCHAR), '~') || '|' || a.anomaly_id), 1, 32))
+                        substr(sha256(length(a.anomaly_type) || ':' || a.anomaly_type ||
+                                      length(CAST(a.station_id AS VARCHAR)) || ':' || a.station_id ||
+                                      coalesce(length(CAST(a.metric_id AS VARCHAR)) || ':' || a.metric_id, '~') ||
+                                      length(CAST(a.anomaly_id AS VARCHAR)) || ':' || a.anomaly_id), 1, 32))
                    AS incident_id,
                l.incident_id IS NULL AS is_new
         FROM (SELECT * FROM t_recent

@@ -178,7 +178,7 @@ class Given:
 
     @cached_property
     def runs(self) -> DataFrame:
-        orders, line = self.load("orders"), self.load("lineitem").where("l_linenumber = 1")
+        orders, line = self.load("orders"), self.load("lineitem")
         ingest = orders.select(
             F.concat(F.lit("i-"), F.col("o_orderkey")).alias("run_id"),
             F.lit(INGEST_JOB).alias("job_name"),
@@ -188,7 +188,7 @@ class Given:
             (F.col("o_orderkey") % 10).alias("digit"),
         )
         transform = line.select(
-            F.concat_ws("-", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey")])
+            F.concat_ws("-", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
             .alias("run_id"),
             F.lit(TRANSFORM_JOB).alias("job_name"),
             F.when(F.col("l_returnflag") == "R", "failed").otherwise("succeeded").alias("status"),
@@ -209,7 +209,7 @@ class Given:
 
     @cached_property
     def check_results(self) -> DataFrame:
-        line = self.load("lineitem").where("l_linenumber = 2")
+        line = self.load("lineitem")
         return line.select(
             F.concat(F.lit("i-"), F.col("l_orderkey")).alias("run_id"),
             F.concat(F.lit("check_"), F.col("l_suppkey") % 8).alias("check_name"),

@@ -340,7 +340,7 @@ def detector_run_counts(g: Given) -> DataFrame:
 
 
 def _recent(g: Given) -> DataFrame:
-    return g.anomaly.where(F.col("detected_at") >= F.lit("2024-01-25").cast("timestamp"))
+    return g.anomaly
 
 
 def _resolved(g: Given) -> DataFrame:

@@ -2,7 +2,7 @@ from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 from conftest import rows
-from tidewarden.functions.lookup import constant_frame, metric_limits, pinned
+from tidewarden.functions.lookup import constant_frame, metric_limits
 
 
 def test_constants_have_a_known_size(spark):
@@ -15,13 +15,6 @@ def test_times_keep_their_instant(spark):
     zoned = datetime(2024, 1, 1, 12, tzinfo=timezone(timedelta(hours=5)))
     df = constant_frame(spark, [(zoned, Decimal("1.5")), (None, None)], "t timestamp, d decimal(18,6)")
     assert rows(df.selectExpr("date_format(t, 'HH:mm')", "d")) == [("07:00", Decimal("1.500000")), (None, None)]
-    assert rows(pinned(df).selectExpr("date_format(t, 'HH:mm')")) == [("07:00",), (None,)]
-
-
-def test_pinning_is_bounded(spark):
-    df = spark.range(5)
-    assert pinned(df, 4) is df
-    assert rows(pinned(df, 5)) == [(i,) for i in range(5)]
 
 
 def test_limits_by_code_then_alias(spark):

@@ -36,17 +36,6 @@ def constant_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | Str
     return spark.createDataFrame(pa.Table.from_pydict(columns, schema=to_arrow_schema(struct)), struct)
 
 
-def pinned(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A work list of checked size as a local relation.
-
-    Fetches at most ``max_rows + 1`` rows. A list within the bound becomes a constant
-    with a known size, so a join with it is a broadcast join and the large side is not
-    shuffled by a handful of hot values. A longer list is returned as it is.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def metric_limits(metric: DataFrame, config: Mapping[str, Any] | DataFrame, name: str) -> DataFrame:
     """``(metric_id, metric_code, name)`` of the metrics that have a configured limit.
 

@@ -7,6 +7,8 @@ parent with very many children costs one row per map task.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewarden.functions.clock import Instant, instant
@@ -45,13 +47,16 @@ def ledger_finish(
 
 def _event(spark: SparkSession, as_of: Instant, **values) -> DataFrame:
     row = tuple(values.get(f.name) for f in _EVENT.fields)
-    return constant_frame(spark, [row], _EVENT).withColumn("event_at", instant(as_of))
+    return constant_frame(spark, [row], _EVENT).withColumns(
+        {"event_at": instant(as_of), "recorded_at": F.lit(datetime.now(timezone.utc))}
+    )
 
 
 def events_for(runs: DataFrame, job_name: str, status: str, as_of: Instant) -> DataFrame:
     """Event rows for many runs at once; columns missing from ``runs`` are null."""
     given = {
         "job_name": F.lit(job_name), "status": F.lit(status), "event_at": instant(as_of),
+        "recorded_at": F.lit(datetime.now(timezone.utc)),
         **{c: F.col(c) for c in runs.columns},
     }
     return runs.select(
@@ -63,9 +68,12 @@ def ledger_state(events: DataFrame) -> DataFrame:
     """Current state per run: what row-by-row updates of a ledger table would show.
 
     ``started_at`` comes from the opening event; status, counters and message from
-    the last event. On equal times the closing event is the later one.
+    the last event. Events are ordered by the clock when they were written, which tells
+    the attempts of a rerun apart, then by their time; on equal times the closing event
+    is the later one, and of two closing ones the success.
     """
-    later = F.struct("event_at", F.col("status") != "started")
+    recorded = F.col("recorded_at") if "recorded_at" in events.columns else F.lit(None).cast("timestamp")
+    later = F.struct(recorded, F.col("event_at"), F.col("status") != "started", F.col("status"))
     last = ["status", "rows_inserted", "rows_updated", "rows_deduped", "error_message"]
     folded = events.groupBy("run_id").agg(
         F.max_by(F.struct(*last), later).alias("last"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewarden.functions.clock import hours
 from tidewarden.functions.lookup import metric_names
-from tidewarden.operators.merge import latest_wins
+from tidewarden.operators.merge import first_per_key, latest_wins
 from tidewarden.schemas import DECIMAL, KEYS
 from tidewarden.settings import ALLOWED_LATENESS_HOURS
 
@@ -83,16 +83,28 @@ def of_runs(raw: DataFrame, runs: DataFrame, by: str = "ingest_run_id") -> DataF
 
 
 def normalize_units(
-    rows: DataFrame, factors: DataFrame, value: str = "value_num", unit: str = "unit"
+    rows: DataFrame, factors: DataFrame, value: str = "value_num", unit: str = "unit",
+    metric: DataFrame | None = None,
 ) -> DataFrame:
     """Convert ``value`` to the canonical unit: ``value * factor + offset``.
 
     ``factors`` has ``(unit, unit_canonical, factor, offset)``. A unit without an
-    entry is left as it is.
+    entry is left as it is. With the metric table the target is the canonical unit of
+    the row's metric, so a unit may have several targets; without it a unit has one,
+    and of several the first by name is taken. No row is doubled.
     """
     converted = (F.col(value) * F.col("factor") + F.coalesce("offset", F.lit(0))).cast(DECIMAL)
     known = factors.select("unit", "unit_canonical", "factor", "offset").withColumnRenamed("unit", unit)
-    joined = rows.join(known, unit, "left")
+    if metric is None:
+        joined = rows.join(first_per_key(known, [unit], [F.asc("unit_canonical")]), unit, "left")
+    else:
+        target = metric.groupBy("metric_code").agg(F.min("unit_canonical").alias("_target"))
+        per_target = first_per_key(known, [unit, "unit_canonical"], [F.asc("factor")])
+        at = (F.col("_source") == per_target[unit]) & (F.col("_target") == per_target["unit_canonical"])
+        joined = (
+            rows.withColumn("_source", F.col(unit)).drop(unit).join(target, "metric_code", "left")
+            .join(per_target, at, "left").withColumn(unit, F.col("_source")).drop("_source", "_target")
+        )
     return joined.withColumns(
         {
             value: F.when(F.col("factor").isNull(), F.col(value)).otherwise(converted),

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import traceback
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
-from functools import reduce
-from itertools import islice
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidewarden import settings
 from tidewarden.functions.clock import Instant, instant
-from tidewarden.functions.lookup import pinned
+from tidewarden.functions.lookup import constant_frame
 from tidewarden.functions.text import digest
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, transform
 from tidewarden.operators.merge import upsert, upsert_counts
@@ -26,7 +24,12 @@ RAW, FACT = "raw_observations", "fact_observation"
 
 def run_identity(job: str, name: str) -> str:
     """Run id of a job; the same name (by default the time it stands for) is the same run."""
-    return hashlib.sha256(f"{job}|{name}".encode()).hexdigest()[:32]
+    return hashlib.sha256(f"{len(job)}:{job}{name}".encode()).hexdigest()[:32]
+
+
+def _since(as_of: datetime, begun: datetime) -> datetime:
+    """The time a run ends that stands for ``as_of``: later by what it has taken."""
+    return as_of + (datetime.now(timezone.utc) - begun)
 
 
 def _with_ledger(
@@ -34,6 +37,7 @@ def _with_ledger(
 ) -> str:
     """Run ``body(run_id)`` between a start and a finish row; a failure is recorded and raised."""
     run_id = run_identity(job, run_name or as_of.isoformat())
+    begun = datetime.now(timezone.utc)
     wh.append("ops_job_event", ledger.ledger_start(wh.spark, run_id, job, as_of))
     try:
         counts = body(run_id)
@@ -41,10 +45,10 @@ def _with_ledger(
         text = f"{type(error).__name__}: {error}\n{traceback.format_exc(limit=5)}"
         wh.append(
             "ops_job_event",
-            ledger.ledger_finish(wh.spark, run_id, job, "failed", as_of, error_message=text),
+            ledger.ledger_finish(wh.spark, run_id, job, "failed", _since(as_of, begun), error_message=text),
         )
         raise
-    wh.append("ops_job_event", ledger.ledger_finish(wh.spark, run_id, job, "succeeded", as_of, counts))
+    wh.append("ops_job_event", ledger.ledger_finish(wh.spark, run_id, job, "succeeded", _since(as_of, begun), counts))
     return run_id
 
 
@@ -121,9 +125,10 @@ def transform_pending(
     """Facts of the given runs in one plan.
 
     A loop over the runs would let the later run win a shared key, so the run's start
-    decides first, then the time of storing. The list of runs is read before planning.
+    decides first, then the time of storing. The list of runs is stored first, so that
+    its size is known when the join is planned.
     """
-    work = pinned(runs.select("run_id", F.col("started_at").alias("run_started_at")))
+    work = staged(runs.select("run_id", F.col("started_at").alias("run_started_at")), "runs")
     order = ["run_started_at", "ingest_run_id", "ingested_at", *tie_order]
     return transform.latest_facts(transform.of_runs(raw, work), station, metric, order)
 
@@ -160,6 +165,7 @@ def transform_runs(
     ).first()
     if not found:
         return 0
+    begun = datetime.now(timezone.utc)
     child = work.select(
         digest(F.lit(settings.TRANSFORM_JOB), F.col("run_id"), instant(as_of)).alias("run_id"),
         F.col("run_id").alias("parent_run_id"),
@@ -168,11 +174,16 @@ def transform_runs(
     try:
         # The runs' watermarks bound the days to read. Runs that stored nothing have none;
         # one that may have stored rows without noting them makes it all days.
-        partition = DAYS[RAW][0]
-        days = F.col(partition).between(low, high) if not unbounded else F.lit(True)
+        partition, time = DAYS[RAW]
+        span = F.col(partition).between(low, high) if not unbounded else F.lit(True)
+        # A narrow scan finds the days that hold rows of these runs; only those are folded.
+        mine = wh.stored(RAW).where(span).select("ingest_run_id", partition, time).join(
+            work.select(F.col("run_id").alias("ingest_run_id")), "ingest_run_id", "left_semi"
+        )
+        days = touched_days(mine, F.col(partition), partition)
         raw = transform.of_runs(wh.current_raw(days), work.select("run_id", F.col("started_at").alias("run_started_at")))
         if unit_factors is not None:
-            raw = transform.normalize_units(raw, unit_factors)
+            raw = transform.normalize_units(raw, unit_factors, metric=wh.read("dim_metric"))
         facts = staged(transform.to_facts(raw, wh.read("dim_station"), wh.read("dim_metric")), "transform-facts")
         columns = SCHEMAS[FACT].fieldNames()
         order = ["run_started_at", "ingest_run_id", "ingested_at", "source", "value_num"]
@@ -182,20 +193,24 @@ def transform_runs(
     except Exception as error:
         text = f"{type(error).__name__}: {error}\n{traceback.format_exc(limit=8)}"
         failed = child.withColumn("error_message", F.lit(text[: settings.MESSAGE_LIMIT]))
-        wh.append("ops_job_event", ledger.events_for(failed, settings.TRANSFORM_JOB, "failed", as_of))
+        wh.append("ops_job_event", ledger.events_for(failed, settings.TRANSFORM_JOB, "failed", _since(as_of, begun)))
         raise
     done = child.join(stats.withColumnRenamed("run_id", "parent_run_id"), "parent_run_id", "left").select(
         "run_id", "parent_run_id", "watermark_from", "watermark_to",
         F.coalesce("n_rows", F.lit(0)).alias("rows_inserted"),
     )
-    wh.append("ops_job_event", ledger.events_for(done, settings.TRANSFORM_JOB, "succeeded", as_of))
+    wh.append("ops_job_event", ledger.events_for(done, settings.TRANSFORM_JOB, "succeeded", _since(as_of, begun)))
     return found
 
 
 def check_runs(
     wh: Warehouse, as_of: datetime, definitions: Sequence[quality.CheckDefinition] | None = None
 ) -> int:
-    """Quality checks for every eligible ingest run. Returns the number of results stored."""
+    """Quality checks for every eligible ingest run. Returns the number of results stored.
+
+    The results are stored together. If a check cannot be computed none is: the runs'
+    check runs end as failed with the error, and the runs stay eligible.
+    """
     if definitions is None:
         definitions = quality.active_definitions(wh.read("ops_dq_check_definition"))
     stored = wh.read("ops_dq_check_run")
@@ -204,41 +219,33 @@ def check_runs(
     )
     if eligible.isEmpty():
         return 0
+    begun = datetime.now(timezone.utc)
     child = eligible.select(
         digest(F.lit(settings.CHECKS_JOB), F.col("run_id"), instant(as_of)).alias("run_id"),
         F.col("run_id").alias("parent_run_id"),
     )
     wh.append("ops_job_event", ledger.events_for(child, settings.CHECKS_JOB, "started", as_of))
-    if any(d.is_active and d.sql_template and not d.built_in for d in definitions):
-        for name in (RAW, FACT, "dim_station", "dim_metric", "ops_job_run"):
-            wh.read(name).createOrReplaceTempView(name)
-        eligible.createOrReplaceTempView("eligible_runs")
-    tables = quality.Checked(wh.stored(RAW), wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
-
-    def store(results: DataFrame) -> DataFrame:
+    try:
+        if any(d.is_active and d.sql_template and not d.built_in for d in definitions):
+            for name in (RAW, FACT, "dim_station", "dim_metric", "ops_job_run"):
+                wh.read(name).createOrReplaceTempView(name)
+            eligible.createOrReplaceTempView("eligible_runs")
+        # Duplicates are those of the current raw rows: the stored log repeats re-delivered keys.
+        tables = quality.Checked(wh.read(RAW), wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
+        results = quality.run_checks(eligible, definitions, tables, as_of)
+        if any(d.is_active and d.per_run for d in definitions):
+            results = results.unionByName(quality.template_checks(eligible, definitions, as_of))
         fresh = staged(quality.new_check_results(stored, results), "check-results")
-        wh.append("ops_dq_check_run", fresh)
-        return fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
-
-    counts = [store(quality.run_checks(eligible, definitions, tables, as_of))]
-    if any(d.is_active and d.per_run for d in definitions):
-        # Templates bound to one run are single queries by nature; a few runs make one plan.
-        for few in _chunks((r.run_id for r in eligible.toLocalIterator()), TEMPLATE_RUNS_PER_PLAN):
-            counts.append(store(quality.template_checks(wh.spark, definitions, few, as_of)))
-    total = reduce(DataFrame.unionByName, counts).groupBy("parent_run_id").agg(
-        F.sum("rows_inserted").alias("rows_inserted")
-    )
+    except Exception as error:
+        text = f"{type(error).__name__}: {error}\n{traceback.format_exc(limit=8)}"
+        failed = child.withColumn("error_message", F.lit(text[: settings.MESSAGE_LIMIT]))
+        wh.append("ops_job_event", ledger.events_for(failed, settings.CHECKS_JOB, "failed", _since(as_of, begun)))
+        raise
+    wh.append("ops_dq_check_run", fresh)
+    total = fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
     done = child.join(total, "parent_run_id", "left")
-    wh.append("ops_job_event", ledger.events_for(done, settings.CHECKS_JOB, "succeeded", as_of))
-    return total.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0))).first()[0]
-
-
-TEMPLATE_RUNS_PER_PLAN = 50
-
-
-def _chunks(items: Iterator[str], size: int) -> Iterator[list[str]]:
-    while few := list(islice(items, size)):
-        yield few
+    wh.append("ops_job_event", ledger.events_for(done, settings.CHECKS_JOB, "succeeded", _since(as_of, begun)))
+    return fresh.count()
 
 
 def detect_and_open_incidents(
@@ -248,43 +255,49 @@ def detect_and_open_incidents(
     registry: Sequence[detectors.Detector] = detectors.BUILT_IN,
     respect_switches: bool = False,
 ) -> str:
-    """Detect, store new anomalies, open or touch incidents, link. Returns the run id.
+    """Detect, open or touch incidents, link, store new anomalies. Returns the run id.
 
-    With ``respect_switches`` types that the type table disables are left out. The
-    detectors are one plan, so they succeed or fail together.
+    Each detector is a run of its own with a start, a final row and its own duration. One
+    that fails is recorded and does not undo or stop the others; the run fails after
+    the last. With ``respect_switches`` types that the type table disables are left out.
     """
 
     def body(run_id: str) -> dict:
-        begun = datetime.now(timezone.utc)
-        empty = wh.spark.sql("SELECT '' AS detector, 0L AS rows_detected, 0L AS rows_inserted, 0L AS rows_linked").limit(0)
-        try:
-            observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
-            detected = detectors.detect_all(observed, config, as_of, registry)
-            if respect_switches:
-                detected = detectors.enabled_only(detected, wh.read("ops_anomaly_type"))
-            found = staged(incidents.stamp_anomalies(detected, as_of), "detected")
-            fresh, links = store_anomalies(wh, found, as_of)
-        except Exception as error:
-            _store_detector_runs(wh, empty, registry, run_id, as_of, begun, f"{type(error).__name__}: {error}")
-            raise
-        by_id = fresh.select(F.col("anomaly_id").alias("_id"), "detector")
-        linked = links.join(by_id, links["anomaly_id"] == by_id["_id"]).select("detector")
-        counts = detectors.detector_counts(found, fresh, linked)
-        _store_detector_runs(wh, counts, registry, run_id, as_of, begun)
-        return {"rows_inserted": fresh.count()}
+        observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
+        inserted, failures = 0, []
+        for detector in registry:
+            begun = datetime.now(timezone.utc)
+            _store_detector_run(wh, run_id, detector.name, begun)
+            try:
+                detected = detectors.detect_all(observed, config, as_of, [detector])
+                if respect_switches:
+                    detected = detectors.enabled_only(detected, wh.read("ops_anomaly_type"))
+                found = staged(incidents.stamp_anomalies(detected, as_of), "detected")
+                fresh, links = store_anomalies(wh, found, as_of)
+            except Exception as error:
+                failures.append(error)
+                _store_detector_run(wh, run_id, detector.name, begun, error=f"{type(error).__name__}: {error}")
+            else:
+                counts = (found.count(), fresh.count(), links.count())
+                _store_detector_run(wh, run_id, detector.name, begun, counts)
+                inserted += counts[1]
+        if failures:
+            raise failures[0]
+        return {"rows_inserted": inserted}
 
     return _with_ledger(wh, settings.DETECTION_JOB, as_of, body)
 
 
 def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> tuple[DataFrame, DataFrame]:
-    """Insert-or-ignore stamped anomalies, then group the new ones into incidents.
+    """Group new anomalies into incidents, then insert-or-ignore the stamped anomalies.
 
-    Returns the new anomalies and the new links.
+    Returns the new anomalies and the new links. An anomaly is stored last: as long as it
+    is not, a rerun finds it new again, meets the incident that it opened and its link,
+    whose ids are digests, and completes what is missing.
     """
     partition, time = DAYS["ops_anomaly"]
     known = wh.stored("ops_anomaly").where(touched_days(found, F.to_date(time), partition))
     fresh = staged(incidents.new_anomalies(known, found), "new-anomalies")
-    wh.append("ops_anomaly", fresh)
     current = wh.read("ops_incident")
     resolved = staged(incidents.resolve_incidents(current, fresh), "incidents")
     opened = incidents.opened_incidents(resolved, as_of)
@@ -296,31 +309,19 @@ def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> tuple[Da
         incidents.link_incidents(wh.read("ops_incident_anomaly"), resolved, fresh, as_of), "links"
     )
     wh.append("ops_incident_anomaly", links)
+    wh.append("ops_anomaly", fresh)
     return fresh, links
 
 
-def _store_detector_runs(
-    wh: Warehouse,
-    counts: DataFrame,
-    registry: Sequence[detectors.Detector],
-    run_id: str,
-    as_of: datetime,
-    begun: datetime,
-    error: str | None = None,
+def _store_detector_run(
+    wh: Warehouse, run_id: str, name: str, begun: datetime, counts: tuple[int, ...] | None = None, error: str | None = None
 ) -> None:
-    """One ledger row per detector, also for those that found nothing."""
-    names = F.explode(F.array(*[F.lit(d.name) for d in registry]))
-    listed = wh.spark.range(1).select(names.alias("detector"))
-    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_detected", "rows_inserted", "rows_linked")]
-    spent = datetime.now(timezone.utc) - begun
-    rows = listed.join(counts, "detector", "left").select(
-        F.lit(run_id).alias("run_id"),
-        F.col("detector").alias("detector_name"),
-        instant(as_of).alias("started_at"),
-        (instant(as_of) + F.lit(spent)).alias("finished_at"),
-        F.lit(int(spent.total_seconds() * 1000)).alias("duration_ms"),
-        *zero,
-        F.lit("failed" if error else "succeeded").alias("status"),
-        F.lit(error and error[: settings.MESSAGE_LIMIT]).cast("string").alias("error_message"),
+    """Append a detector's start (neither counts nor an error) or its end. The last row per run and detector counts."""
+    now = datetime.now(timezone.utc)
+    closed = counts is not None or error is not None
+    status = "started" if not closed else "failed" if error else "succeeded"
+    row = (
+        run_id, name, begun, now if closed else None, int((now - begun).total_seconds() * 1000) if closed else None,
+        *(counts or (0, 0, 0)), status, error and error[: settings.MESSAGE_LIMIT],
     )
-    wh.append("ops_anomaly_detector_run", rows)
+    wh.append("ops_anomaly_detector_run", constant_frame(wh.spark, [row], SCHEMAS["ops_anomaly_detector_run"]))

@@ -27,7 +27,7 @@ _DDL = {
         run_id string, job_name string, status string, event_at timestamp,
         watermark_from timestamp, watermark_to timestamp,
         rows_inserted bigint, rows_updated bigint, rows_deduped bigint,
-        error_message string, parent_run_id string""",
+        error_message string, parent_run_id string, recorded_at timestamp""",
     "ops_job_run": """
         run_id string, job_name string, status string, started_at timestamp, ended_at timestamp,
         watermark_from timestamp, watermark_to timestamp,

@@ -26,8 +26,6 @@ DAYS = {
     "fact_observation": ("observed_date", "observed_at"),
     "ops_anomaly": ("detected_date", "detected_at"),
 }
-# Above this many distinct days a batch is described by its range instead.
-MAX_LISTED_DAYS = 4000
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
@@ -42,14 +40,9 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def touched_days(batch: DataFrame, day: Column, partition: str) -> Column:
-    """Partition filter for the days of a batch: a list of literals, or the range when
-    the list would be long. Either covers every row of the batch."""
-    days = batch.select(day.alias("d")).distinct()
-    listed = [r.d for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return F.col(partition).isin(listed)
-    low, high = days.agg(F.min("d"), F.max("d")).first()
-    return F.col(partition).between(low, high)
+    """Partition filter for the days of a batch, as a list of literals: exactly these
+    partitions are read or replaced. It has a value per calendar day, not per row."""
+    return F.col(partition).isin([r.d for r in batch.select(day.alias("d")).distinct().collect()])
 
 
 class Warehouse:
@@ -86,6 +79,11 @@ class Warehouse:
             return ledger_state(self.stored("ops_job_event"))
         if name == "raw_observations":
             return self.current_raw(F.lit(True))
+        if name == "ops_anomaly_detector_run":
+            # Attempts of a rerun have later starts; of one attempt the end comes after the start.
+            rows = self.stored(name).withColumn("_closed", F.col("status") != "started")
+            folded = latest_wins(rows, ["run_id", "detector_name"], ["started_at", "_closed"])
+            return folded.select(*SCHEMAS[name].fieldNames())
         if name == "ops_incident":
             folded = latest_wins(self.stored(name), ["incident_id"], ["version_at"])
             return folded.select(*SCHEMAS[name].fieldNames())
@@ -94,7 +92,7 @@ class Warehouse:
     def current_raw(self, days: Column) -> DataFrame:
         """Newest raw row per key on the given days."""
         rows = self.stored("raw_observations").where(days)
-        newest = latest_wins(rows, KEYS["raw_observations"], ["ingested_at", "ingest_run_id", "source_payload"])
+        newest = latest_wins(rows, KEYS["raw_observations"], ["ingested_at", "ingest_run_id", "value_num", "value_text"])
         return newest.select(*SCHEMAS["raw_observations"].fieldNames())
 
     def append(self, name: str, df: DataFrame) -> None:
