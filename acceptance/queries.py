@@ -228,18 +228,18 @@ def transform_selected_runs(g: Given) -> DataFrame:
     return jobs.transform_pending(g.raw, g.station_core, g.metric, runs, ["id"]).select(*TRANSFORM_COLUMNS)
 
 
-@query("""SELECT run_id, started_at FROM t_runs i
-          WHERE job = 'ingest' AND status = 'succeeded'
-            AND NOT EXISTS (SELECT 1 FROM t_runs t WHERE t.job = 'transform' AND t.parent_run_id = i.run_id)""")
+@query("""SELECT i.run_id, i.started_at FROM t_runs i
+          LEFT JOIN (SELECT DISTINCT parent_run_id AS done FROM t_runs WHERE job = 'transform') t ON t.done = i.run_id
+          WHERE i.job = 'ingest' AND i.status = 'succeeded' AND t.done IS NULL""")
 def pending_runs(g: Given) -> DataFrame:
     return ledger.pending_runs(g.runs).select("run_id", "started_at")
 
 
-@query("""SELECT run_id, started_at FROM t_runs i
-          WHERE job = 'ingest' AND status = 'succeeded'
-            AND EXISTS (SELECT 1 FROM t_runs t WHERE t.job = 'transform' AND t.status = 'succeeded'
-                                                 AND t.parent_run_id = i.run_id)
-            AND NOT EXISTS (SELECT 1 FROM t_dq d WHERE d.run_id = i.run_id)""")
+@query("""SELECT i.run_id, i.started_at FROM t_runs i
+          JOIN (SELECT DISTINCT parent_run_id AS done FROM t_runs
+                WHERE job = 'transform' AND status = 'succeeded') t ON t.done = i.run_id
+          LEFT JOIN (SELECT DISTINCT run_id AS checked FROM t_dq) d ON d.checked = i.run_id
+          WHERE i.job = 'ingest' AND i.status = 'succeeded' AND d.checked IS NULL""")
 def eligible_dq_runs(g: Given) -> DataFrame:
     return ledger.eligible_check_runs(g.runs, g.check_results).select("run_id", "started_at")
 

@@ -166,3 +166,43 @@ def test_a_merge_replaces_only_the_days_it_touches(spark, warehouse):
         touched_days(facts(1, 2, "b"), F.to_date("observed_at"), "observed_date")
     )._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*observed_date#\d+ = \d+", plan) and "DataFilters: []" in plan
+
+
+def test_a_bad_template_fails_the_checks_and_leaves_the_runs_eligible(warehouse, tmp_path):
+    wh = warehouse
+    jobs.ingest(wh, land(tmp_path / "h0", 0, [10]), START)
+    jobs.transform_runs(wh, START + timedelta(minutes=1))
+    bad = quality.CheckDefinition(9, "bad", "warning", 1, ">=", True, "SELECT no_such_column AS metric_value FROM fact_observation WHERE ingest_run_id = :run_id")
+    with pytest.raises(Exception, match="no_such_column"):
+        jobs.check_runs(wh, START + timedelta(minutes=2), [*CHECKS, bad])
+    run = wh.read("ops_job_run").where(f"job_name = '{settings.CHECKS_JOB}'").first()
+    assert run.status == "failed" and run.ended_at >= run.started_at
+    assert wh.read("ops_dq_check_run").count() == 0
+    assert jobs.check_runs(wh, START + timedelta(minutes=2), CHECKS) == len(CHECKS)
+    assert wh.read("ops_job_run").where(f"job_name = '{settings.CHECKS_JOB}'").first().status == "succeeded"
+
+
+@pytest.mark.parametrize("table", ["ops_incident", "ops_incident_anomaly", "ops_anomaly"])
+def test_detection_that_stops_at_a_write_is_completed_by_a_rerun(warehouse, tmp_path, monkeypatch, table):
+    wh = warehouse
+    jobs.ingest(wh, land(tmp_path / "h0", 0, [10, 10]), START)
+    jobs.transform_runs(wh, START + timedelta(minutes=1))
+    append = wh.append
+
+    def stop(name, df):
+        if name == table:
+            raise OSError("lost")
+        append(name, df)
+
+    now = START + timedelta(hours=2)
+    monkeypatch.setattr(wh, "append", stop)
+    with pytest.raises(OSError, match="lost"):
+        jobs.detect_and_open_incidents(wh, now, CONFIG)
+    monkeypatch.setattr(wh, "append", append)
+    jobs.detect_and_open_incidents(wh, now, CONFIG)
+    anomalies = rows(wh.read("ops_anomaly"), "anomaly_type", "station_id")
+    assert anomalies == [("silent_station", 1), ("silent_station", 2)]
+    assert rows(wh.read("ops_incident"), "anomaly_type", "station_id", "status") == [(*a, "open") for a in anomalies]
+    assert rows(wh.read("ops_incident_anomaly"), "anomaly_id") == rows(wh.read("ops_anomaly"), "anomaly_id")
+    assert {r.status for r in wh.read("ops_anomaly_detector_run").collect()} == {"succeeded"}
+    assert wh.read("ops_anomaly_detector_run").count() == 5
