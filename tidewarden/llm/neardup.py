@@ -123,13 +123,17 @@ def possible(percent: int) -> Column:
 
 
 def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
-                  percent: int, copies: DataFrame | None = None) -> DataFrame:
+                  percent: int, copies: DataFrame | None = None,
+                  verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(id, component) of the ids that have a link, from stored postings and the links (a, b) of known copies.
 
     ``sets`` maps a frame of distinct ids to (id, items), items being the distinct members of the id's set as longs;
     ``profiles`` to (id, profile), the number of items in each of a fixed number of classes. Links are pairs with
     100 * intersection >= percent * union. Profiles rule most other candidates out before sets are moved.
 
+    With ``verify`` the items may be anything: it maps (a, b, x, y), where x and y are the items of a and b, to the
+    pairs (a, b) that link.
+
     A key's head is its most central member, the one whose keys have most members: of a group of near copies that is
     the one nearest to their common origin, so that all of them are linked to it.
     """
@@ -147,7 +151,8 @@ def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame
         ids = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
         items = kept(sets(ids), f"{name}-sets")
         x, y = (items.select(F.col("id").alias(a), F.col("items").alias(b)) for a, b in ("ax", "by"))
-        return kept(near.join(x, "a").join(y, "b").where(similar(percent)).select("a", "b"), f"{name}-links")
+        both = near.join(x, "a").join(y, "b")
+        return kept(verify(both) if verify else both.where(similar(percent)).select("a", "b"), f"{name}-links")
 
     links = verified(star, "star")
     label = _near_labels(links)
