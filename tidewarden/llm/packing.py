@@ -8,6 +8,8 @@ is cut there and seeds the next window. What remains of a shard is cut at powers
 from __future__ import annotations
 
 import functools
+import itertools
+import os
 import zlib
 
 import numpy as np
@@ -24,14 +26,16 @@ SHARD_BYTES = 1 << 20
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 CACHE_WORDS = 300_000
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 @functools.cache
 def _worker(path: str):
+    # A task has one core: the tokenizer's own threads would only wait for each other.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}, []
+    return Tokenizer.from_file(path), {}
 
 
 def encode(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -42,24 +46,20 @@ def encode(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.ndarra
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    tokenizer, known, pieces = _worker(path)
-    if len(pieces) > CACHE_WORDS:
+    tokenizer, known = _worker(path)
+    if len(known) > CACHE_WORDS:
         known.clear()
-        pieces.clear()
     split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = split.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     new = [w for w in words if w not in known]
-    for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-        known[w] = len(pieces)
-        pieces.append(np.array(e.ids, dtype=np.uint32))
-    table_ids = np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words))
-    used = [pieces[i] for i in table_ids.tolist()]
+    known.update(zip(new, (e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+    used = [known[w] for w in words]
     lengths = np.fromiter(map(len, used), dtype=np.int64, count=len(used))
-    flat = np.concatenate(used) if used else np.zeros(0, dtype=np.uint32)
+    flat = np.fromiter(itertools.chain.from_iterable(used), dtype=np.uint32, count=int(lengths.sum()))
     starts = np.cumsum(lengths) - lengths
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     tokens = flat[ranges(starts[codes], lengths[codes])] if len(codes) else flat
@@ -149,11 +149,13 @@ def sequences(total: int, window: int = WINDOW) -> list[int]:
     return out + tail[::-1]
 
 
-def pack_shard(shard: int, doc_ids: list, texts: list[str], path: str, window: int = WINDOW) -> dict[str, list]:
+def pack_shard(shard: int, doc_ids: list, texts: list[str], path: str, window: int = WINDOW,
+               with_ids: bool = True) -> dict[str, list]:
     """Pieces of one shard in order: every id in exactly one piece."""
     ids, offsets = encode(texts, path)
     lengths = np.diff(offsets)
     out: dict[str, list] = {k.split()[0]: [] for k in SCHEMA.split(", ")}
+    held: list[np.ndarray] = []
     limits = sequences(int(len(ids)), window)
     place, room, filled = 0, limits[0], 0
     for d in retrieval_order(Index(ids, offsets), lengths, window):
@@ -162,18 +164,23 @@ def pack_shard(shard: int, doc_ids: list, texts: list[str], path: str, window: i
             take = min(n - start, room - filled)
             piece = ids[offsets[d] + start: offsets[d] + start + take]
             for name, value in zip(out, (doc_ids[d], start, take, zlib.crc32(piece.tobytes()), n,
-                                         (shard << 32) | place, filled, piece.astype(np.int32))):
+                                         (shard << 32) | place, filled)):
                 out[name].append(value)
+            if with_ids:
+                held.append(piece.astype(np.int32))
             start += take
             filled += take
             if filled == room and place + 1 < len(limits):
                 place, room, filled = place + 1, limits[place + 1], 0
-    return out
+    return out | {"ids": held} if with_ids else out
 
 
-def packed(documents: DataFrame, path: str, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def packed(documents: DataFrame, path: str, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
+           with_ids: bool = True) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids) of all documents.
 
+    ``with_ids=False`` leaves the last column out.
+
     A null text is an empty one: its end id alone. Empty input gives no rows; repeated rows are packed each; a null
     id stays null. Documents are dealt to shards by a hash of id and text, one shard per ``shard_bytes`` of text; a
     task holds one shard, or one longer document. Other columns are not read.
@@ -186,14 +193,14 @@ def packed(documents: DataFrame, path: str, window: int = WINDOW, shard_bytes: i
     def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "text"], kind="stable")
         ids = [None if pd.isna(x) else int(x) for x in frame["doc_id"]]
-        out = pd.DataFrame(pack_shard(int(key[0]), ids, frame["text"].tolist(), path, window))
+        out = pd.DataFrame(pack_shard(int(key[0]), ids, frame["text"].tolist(), path, window, with_ids))
         return out.astype({"doc_id": "Int64"})
 
-    return dealt.groupBy("shard").applyInPandas(pack, SCHEMA)
+    return dealt.groupBy("shard").applyInPandas(pack, SCHEMA + ", ids array<int>" if with_ids else SCHEMA)
 
 
 def op8_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies."""
     import public_tokenizers
 
-    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("ids")
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
