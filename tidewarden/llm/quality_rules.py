@@ -144,19 +144,17 @@ def judged(signals: DataFrame, limits: DataFrame) -> DataFrame:
         *signals.columns, "kept")
 
 
-def learnt_fences(documents: DataFrame) -> DataFrame:
-    """Fences of a corpus as a stored table: a row per language and source, broadcast only if Spark knows it small."""
-    return kept(fences(sketches(with_signals(documents.select("text", "lang", "source")))), "quality-fences")
-
-
 def filtered(documents: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns only.
 
-    Null and short texts fail the base rules; empty input gives none; repeated rows are judged alike.
+    Null and short texts fail the base rules; empty input gives none; repeated rows are judged alike. The signals are
+    stored beside the rows, so that the fences and the filter read them and neither computes them again.
     """
     own = [F.col(f"`{c}`").alias(f"own {i}") for i, c in enumerate(documents.columns)]
-    signals = with_signals(documents.select(*own, "text", "lang", "source"))
-    passed = judged(signals, learnt_fences(documents)).where("kept")
+    signals = kept(with_signals(documents.select(*own, "text", "lang", "source")).drop("text"), "quality-signals")
+    # A row per language and source: broadcast only if Spark knows it to be small.
+    limits = kept(fences(sketches(signals)), "quality-fences")
+    passed = judged(signals, limits).where("kept")
     return passed.select(*(F.col(f"own {i}").alias(c) for i, c in enumerate(documents.columns)))
 
 
