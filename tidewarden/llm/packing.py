@@ -91,9 +91,15 @@ class Index:
         slot = np.repeat(np.arange(len(self.terms)), df)
         self.query = [slot[order[a: min(b, a + QUERY_TERMS)]] for a, b in zip(begin[:-1], begin[1:])]
         self.n = n
+        self.latest: tuple[int, np.ndarray] = (-1, np.zeros(0, dtype=np.int64))
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Documents that share a query term with the seed, best first, ties by place."""
+        if self.latest[0] != seed:
+            self.latest = (seed, self._ranked(seed))
+        return self.latest[1]
+
+    def _ranked(self, seed: int) -> np.ndarray:
         slots = self.query[seed]
         counts = self.first[slots + 1] - self.first[slots]
         at = ranges(self.first[slots], counts)
