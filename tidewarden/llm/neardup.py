@@ -1,10 +1,10 @@
-"""Groups of similar sets from shared signatures: a star first, then only what the star left open.
+"""Groups of similar sets from shared signatures: central members first, then only what they left open.
 
 Both near-duplicate operators write postings (key, id, chosen): one of the signatures of ``id`` is ``key``; two sets
 are candidates when they share a key that at least one of them chose. All pairs of a key would grow with the square
-of a group of near copies. Instead every member is compared with the key's most central one. A key whose members are
-then all known to be of one component has nothing left to say; only members not known to be connected are compared
-with each other. The components are those of all links.
+of a group of near copies. Instead every member is compared with a central one. A key whose members are then all known
+to be of one component has nothing left to say; only members not known to be connected are compared with each other.
+The components are those of all links.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewarden.llm.common import components, kept
@@ -135,14 +135,18 @@ def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame
     pairs (a, b) that link.
 
     A key's head is its most central member, the one whose keys have most members: of a group of near copies that is
-    the one nearest to their common origin, so that all of them are linked to it.
+    the one nearest to their common origin. First every id is compared with the most central of its keys' heads, one
+    pair per id, which unites a group of near copies however many keys they share. Of the keys that still hold several
+    components, members are compared with the head of their key; of those that are left, with all members of other
+    components.
     """
-    central = postings.groupBy("id").agg(F.sum("weight").alias("central"))
-    ranked = kept(postings.select("key", "id", "chosen").join(central, "id"), "ranked")
-    heads = ranked.groupBy("key").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("head"))
-    head = -F.col("head.minus")
-    star = kept(ranked.join(heads, "key").where(head != F.col("id")).select(
-        F.least(head, "id").alias("a"), F.greatest(head, "id").alias("b")).distinct(), "star")
+    weighed = postings.select("key", "id", "chosen", F.sum("weight").over(Window.partitionBy("id")).alias("central"))
+    ranked = kept(weighed, "ranked")
+    heads = ranked.groupBy("key").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("top"))
+    # Heads grow with the postings: merged at every size.
+    headed = kept(ranked.drop("central").join(heads.hint("merge"), "key").select(
+        "key", "id", "chosen", F.col("top.central").alias("central"), (-F.col("top.minus")).alias("head")), "headed")
+    best = headed.groupBy("id").agg(F.max(F.struct("central", (-F.col("head")).alias("minus"))).alias("top"))
     shape = kept(profiles(postings.select("id").distinct()), "profiles")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -154,22 +158,38 @@ def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame
         both = near.join(x, "a").join(y, "b")
         return kept(verify(both) if verify else both.where(similar(percent)).select("a", "b"), f"{name}-links")
 
-    links = verified(star, "star")
-    label = _near_labels(links)
-    placed = kept(ranked.join(label, "id", "left").select("key", "id", "chosen", F.coalesce("label", "id").alias("label")), "placed")
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    open_ = kept(placed.join(split, "key", "left_semi"), "open")
-    a = open_.select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "chosen", "label")))
-    b = open_.select("key", *(F.col(c).alias(f"b_{c}") for c in ("id", "chosen", "label")))
-    rest = a.join(b, "key").where((F.col("a_label") < F.col("b_label")) & (F.col("a_chosen") | F.col("b_chosen")))
-    rest = rest.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
-    found = links.unionByName(verified(rest.join(star, ["a", "b"], "left_anti"), "rest"))
+    first = kept(_pairs(best.select("id", (-F.col("top.minus")).alias("other"))), "first")
+    links = verified(first, "first")
+    label = kept(components(links), "first-labels")
+    open_ = _open(headed.select("key", "id", "chosen", "head"), label)
+    far = label.select(F.col("id").alias("head"), F.col("component").alias("head_label"))
+    star = open_.join(far, "head", "left").where(F.col("label") != F.coalesce("head_label", "head"))
+    star = kept(_pairs(star.select("id", F.col("head").alias("other"))).join(first, ["a", "b"], "left_anti"), "star")
+    links = links.unionByName(verified(star, "star"))
+    open_ = _open(open_.select("key", "id", "chosen"), kept(components(links), "star-labels"))
+    # Members of a key's largest component need not meet each other: only the others look for partners.
+    counts = open_.groupBy("key", "label").count()
+    major = counts.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("major"))
+    marked = kept(open_.join(major, "key"), "marked")
+    a = marked.where("label != major").select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "chosen", "label")))
+    b = marked.select("key", "major", *(F.col(c).alias(f"b_{c}") for c in ("id", "chosen", "label")))
+    rest = a.join(b, "key").where(((F.col("b_label") == F.col("major")) | (F.col("a_label") < F.col("b_label")))
+                                  & (F.col("a_chosen") | F.col("b_chosen")))
+    rest = _pairs(rest.select(F.col("a_id").alias("id"), F.col("b_id").alias("other")))
+    for done in (first, star):
+        rest = rest.join(done, ["a", "b"], "left_anti")
+    found = links.unionByName(verified(kept(rest, "rest"), "rest"))
     return components(found.unionByName(copies) if copies is not None else found)
 
 
-def _near_labels(links: DataFrame) -> DataFrame:
-    """(id, label): ids of one label are in one component, though a component may have several labels."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = kept(both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("label")), "labels")
-    two = one.join(one.select(F.col("id").alias("label"), F.col("label").alias("further")), "label")
-    return two.select("id", F.col("further").alias("label"))
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of (id, other)."""
+    return met.where("id != other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def _open(postings: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings of the keys whose members are in several components, with ``label``, the component of each. Stored."""
+    label = components.withColumnRenamed("component", "label")
+    placed = kept(postings.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")), "placed")
+    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    return kept(placed.join(split, "key", "left_semi"), "open")
