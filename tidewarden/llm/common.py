@@ -19,9 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, a lost executor costs nothing."""
+    return kept_at(df, purpose)[0]
+
+
+def kept_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """As :func:`kept`, with the folder, for a table that is to be dropped."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`kept_at` made, once all that was read from it is written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
