@@ -18,6 +18,7 @@ from tidewarden.operators.quality import CheckDefinition
 from tidewarden.operators.transform import latest_facts, to_facts
 from tidewarden.schemas import DECIMAL
 from tidewarden.settings import ANOMALY_TYPES, INGEST_JOB, TRANSFORM_JOB, PayloadMetric
+from tidewarden.session import shared_folder
 from tidewarden.sources.warehouse import staged
 
 SCHEMAS = {
@@ -327,8 +328,8 @@ def _zoned(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else rows
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
-    """Raw observations of an event frame; row by row, so it serves streams too."""
+def raw_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw observations of an event frame; row by row, so it serves streams too. ``keep`` names event columns to carry."""
     key, ts = F.col("event_id"), F.col("ts")
     no_number = (key % 50 == 0) | (key % 101 == 0)
     has_text = ((key % 50 == 0) | (key % 97 == 0)) & (key % 101 != 0)
@@ -345,9 +346,25 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         F.col("props").alias("source_payload"),
         (ts + minutes(delay)).alias("ingested_at"),
         F.concat(F.lit("ev-"), F.to_date(ts).cast("string")).alias("ingest_run_id"),
+        *keep,
     )
 
 
+def ordered_event_stream(g: Given, parts: int = 4) -> DataFrame:
+    """The events as a stream of one file per micro-batch, each with the events of one span of time."""
+    folder = shared_folder(g.spark, "events")
+    events = g.spark.read.schema(SCHEMAS["events"]).parquet(f"{g.sf_dir}/events.parquet")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    edges = [first + (last - first) * k / parts for k in range(1, parts)]
+    for low, high in zip([None, *edges], [*edges, None]):
+        span = events.where(F.col("ts") >= F.lit(low)) if low else events
+        span = span.where(F.col("ts") < F.lit(high)) if high else span
+        # Written one after the other: a file source takes older files first.
+        span.coalesce(1).write.mode("append").parquet(folder)
+    reader = g.spark.readStream.schema(StructType.fromDDL(SCHEMAS["events"]))
+    return _zoned(reader.option("maxFilesPerTrigger", 1).parquet(folder))
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table, a file or a folder of files, as a stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -854,3 +854,7 @@ def stream_jumps(g: Given) -> DataFrame:
     """Jumps found while the stream came in."""
     warehouse, _ = _streamed(g, detect=True)
     return warehouse.read("ops_anomaly").select("anomaly_type", "station_id", "metric_id_dedup", "severity")
+
+
+# Registers the queries over stored tables, which use the helpers above.
+from acceptance import stored  # noqa: E402, F401

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import at, rows
 from tidewarden import settings
 from tidewarden.operators import detectors, quality
+from tidewarden.operators.series import series_heads
 from tidewarden.plans import jobs, views
 from tidewarden.schemas import SCHEMAS
 from tidewarden.sources.warehouse import Warehouse, touched_days
@@ -168,18 +169,29 @@ def test_a_merge_replaces_only_the_days_it_touches(spark, warehouse):
     assert re.search(r"PartitionFilters: \[[^]]*observed_date#\d+ = \d+", plan) and "DataFilters: []" in plan
 
 
-def test_a_bad_template_fails_the_checks_and_leaves_the_runs_eligible(warehouse, tmp_path):
+def test_a_bad_template_leaves_the_other_checks_and_is_tried_again(warehouse, tmp_path):
     wh = warehouse
     jobs.ingest(wh, land(tmp_path / "h0", 0, [10]), START)
     jobs.transform_runs(wh, START + timedelta(minutes=1))
     bad = quality.CheckDefinition(9, "bad", "warning", 1, ">=", True, "SELECT no_such_column AS metric_value FROM fact_observation WHERE ingest_run_id = :run_id")
-    with pytest.raises(Exception, match="no_such_column"):
-        jobs.check_runs(wh, START + timedelta(minutes=2), [*CHECKS, bad])
+    at_run_time = quality.CheckDefinition(10, "late", "warning", 1, ">=", True, "SELECT CAST(source AS INT) AS metric_value FROM fact_observation WHERE ingest_run_id = :run_id LIMIT 1")
+    assert jobs.check_runs(wh, START + timedelta(minutes=2), [*CHECKS, bad, at_run_time]) == len(CHECKS)
     run = wh.read("ops_job_run").where(f"job_name = '{settings.CHECKS_JOB}'").first()
-    assert run.status == "failed" and run.ended_at >= run.started_at
-    assert wh.read("ops_dq_check_run").count() == 0
-    assert jobs.check_runs(wh, START + timedelta(minutes=2), CHECKS) == len(CHECKS)
-    assert wh.read("ops_job_run").where(f"job_name = '{settings.CHECKS_JOB}'").first().status == "succeeded"
+    assert run.status == "failed" and run.ended_at >= run.started_at and run.rows_inserted == len(CHECKS)
+    assert "bad: " in run.error_message and "no_such_column" in run.error_message
+    assert rows(wh.read("ops_dq_check_outcome"), "check_name", "status", "n_results") == sorted(
+        [("bad", "failed", 0), ("late", "failed", 0)] + [(c.name, "succeeded", 1) for c in CHECKS])
+    # The next call computes what is missing, once the template is mended; stored results stay.
+    mended = bad._replace(sql_template=CHECKS[2].sql_template)
+    assert jobs.check_runs(wh, START + timedelta(minutes=3), [*CHECKS, mended]) == 1
+    assert jobs.check_runs(wh, START + timedelta(minutes=4), [*CHECKS, mended]) == 0
+    assert wh.read("ops_dq_check_run").count() == len(CHECKS) + 1
+    # Nothing could be computed at all: that is an error, and the runs stay eligible.
+    jobs.ingest(wh, land(tmp_path / "h1", 1, [10]), START + timedelta(minutes=5))
+    jobs.transform_runs(wh, START + timedelta(minutes=6))
+    with pytest.raises(Exception, match="no_such_column"):
+        jobs.check_runs(wh, START + timedelta(minutes=7), [bad])
+    assert jobs.check_runs(wh, START + timedelta(minutes=8), CHECKS) == len(CHECKS)
 
 
 @pytest.mark.parametrize("table", ["ops_incident", "ops_incident_anomaly", "ops_anomaly"])
@@ -206,3 +218,91 @@ def test_detection_that_stops_at_a_write_is_completed_by_a_rerun(warehouse, tmp_
     assert rows(wh.read("ops_incident_anomaly"), "anomaly_id") == rows(wh.read("ops_anomaly"), "anomaly_id")
     assert {r.status for r in wh.read("ops_anomaly_detector_run").collect()} == {"succeeded"}
     assert wh.read("ops_anomaly_detector_run").count() == 5
+
+
+def test_broken_lines_are_set_aside(warehouse, tmp_path):
+    folder = land(tmp_path / "h0", 0, [10, 11])
+    whole = (tmp_path / "h0" / "part.json").read_text().split("\n")
+    wrong_kind = whole[0].replace('"latitude": 1.0', '"latitude": "north"').replace('"s1"', '"s9"')
+    (tmp_path / "h0" / "more.json").write_text("\n".join([whole[0][:40], "[1, 2", wrong_kind]))
+    run = jobs.ingest(warehouse, folder, START)
+    noted = warehouse.read("ops_job_run").first()
+    assert (noted.run_id, noted.status, noted.rows_inserted, noted.rows_rejected) == (run, "succeeded", 4, 3)
+    aside = warehouse.read("ops_rejected_document")
+    assert rows(aside, "record") == sorted([(whole[0][:40],), ("[1, 2",), (wrong_kind,)], key=lambda r: (False, str(r[0])))
+    assert {r.source_file.rsplit("/")[-1] for r in aside.collect()} == {"more.json"}
+    assert {r.run_id for r in aside.collect()} == {run}
+
+
+def test_a_transform_reads_the_days_and_rows_of_its_runs(warehouse, tmp_path):
+    wh = warehouse
+    runs = [jobs.ingest(wh, land(tmp_path / f"d{day}", 24 * day, [10 + day, 20]), START + timedelta(days=day)) for day in range(4)]
+    assert rows(wh.read("ops_run_day"), "run_id", "observed_date", "n_rows") == sorted(
+        ((run, (START + timedelta(days=day)).date(), 4) for day, run in enumerate(runs)), key=lambda r: (False, str(r[0])))
+    work = wh.read("ops_job_run").where(F.col("run_id") == runs[2]).select("run_id")
+    noted = wh.read("ops_run_day").join(work, "run_id", "left_semi")
+    plan = wh.current_raw(touched_days(noted, F.col("observed_date"), "observed_date"), work)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x and "ingest_run_id" in x]
+    day = (START + timedelta(days=2)).date().isoformat()
+    assert len(scans) == 2 and all(re.search(rf"PartitionFilters: \[[^]]*observed_date#\d+ = {day}", x) for x in scans)
+    assert any(f"EqualTo(ingest_run_id,{runs[2]})" in x for x in scans)
+    assert jobs.transform_runs(wh, START + timedelta(days=9), [runs[2]]) == 1
+    assert {r.ingest_run_id for r in wh.read("fact_observation").collect()} == {runs[2]}
+
+
+def test_runs_without_noted_days_are_found_by_their_watermarks(warehouse, tmp_path):
+    wh = warehouse
+    append = wh.append
+    wh.append = lambda name, df: None if name == "ops_run_day" else append(name, df)
+    jobs.ingest(wh, land(tmp_path / "h0", 0, [10]), START)
+    wh.append = append
+    jobs.ingest(wh, land(tmp_path / "h30", 30, [11]), START + timedelta(hours=30))
+    assert jobs.transform_runs(wh, START + timedelta(days=9)) == 2
+    assert wh.read("fact_observation").count() == 4
+
+
+def test_the_summary_follows_the_facts(spark, warehouse):
+    wh = warehouse
+    key = ["station_id", "metric_id", "observed_at"]
+
+    def facts(*data):
+        full = [(s, 1, START + timedelta(hours=h), Decimal(v), src, START + timedelta(hours=i), False, run) for s, h, v, i, run, src in data]
+        return spark.createDataFrame(full, SCHEMAS["fact_observation"])
+
+    def newest():
+        return rows(series_heads(wh.stored("fact_observation")))
+
+    # Late rows, corrections, ties that only the run or the value decides, and an older row that a named run puts back.
+    wh.merge_facts(facts((1, 1, 10, 1, "a", "x"), (1, 2, 20, 2, "a", "x"), (2, 5, 50, 5, "a", "x")), newest_wins=True)
+    wh.merge_facts(facts((1, 2, 21, 2, "b", "x"), (1, 0, 5, 9, "b", "x"), (2, 4, 40, 5, "b", "x")), newest_wins=True)
+    assert rows(wh.heads(), *key, "value_num") == newest()
+    wh.merge_facts(facts((1, 2, 19, 2, "a", "y"), (2, 5, 51, 5, "a", "x"), (3, 1, 1, 1, "c", "x")), newest_wins=True)
+    assert rows(wh.heads(), *key, "value_num") == newest()
+    assert {(r.station_id, int(r.value_num)) for r in wh.heads().collect()} == {(1, 10), (1, 21), (2, 40), (2, 51), (3, 1)}
+    wh.merge_facts(facts((1, 2, 18, 0, "a", "x")))
+    assert rows(wh.heads(), *key, "value_num") == newest() and wh.heads().where("value_num = 18").count() == 1
+    before = rows(wh.heads())
+    wh.rebuild_heads()
+    assert rows(wh.heads()) == before
+
+
+def test_the_order_of_batches_does_not_matter(spark, tmp_path):
+    same = [(1, 1, START, Decimal(v), src, START, False, run) for v, src, run in ((1, "x", "a"), (2, "x", "a"), (1, "y", "a"), (9, "w", "a"), (0, "x", "b"))]
+    results = []
+    for k, order in enumerate(([0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [2, 4, 0, 3, 1])):
+        wh = Warehouse(spark, str(tmp_path / str(k)))
+        for i in order:
+            wh.merge_facts(spark.createDataFrame([same[i]], SCHEMAS["fact_observation"]), newest_wins=True)
+        results.append((rows(wh.read("fact_observation"), "value_num", "source"), rows(wh.heads(), "value_num", "source")))
+    assert results == [([(Decimal(0), "x")], [(Decimal(0), "x")])] * 3
+
+
+def test_quiet_detectors_and_views_leave_the_facts_unread(spark, warehouse):
+    wh = warehouse
+    full = [(1, 1, START + timedelta(hours=h), Decimal(h), "x", START, False, "r") for h in range(5)]
+    wh.merge_facts(spark.createDataFrame(full, SCHEMAS["fact_observation"]))
+    observed = detectors.Observed(wh.stored("fact_observation"), wh.read("dim_station"), wh.read("dim_metric"), wh.heads())
+    found = detectors.detect_all(observed, CONFIG, START, [d for d in detectors.BUILT_IN if d.name != "flatline"])
+    for df in (found, views.station_freshness(wh.heads(), wh.read("dim_station"), START), quality.freshness_minutes(wh.heads(), START)):
+        files = df.inputFiles()
+        assert any("/series_head/" in f for f in files) and not any("/fact_observation/" in f for f in files)

@@ -17,6 +17,8 @@ from tidewarden import settings
 from tidewarden.functions.clock import Instant, elapsed_minutes, instant, minutes
 from tidewarden.functions.lookup import metric_limits
 from tidewarden.functions.text import details_json
+from tidewarden.schemas import DECIMAL
+from tidewarden.operators.circular import arcs, turn
 from tidewarden.operators.series import (
     SERIES, last_seen_by_series, last_seen_by_station, latest_pairs, series_heads, since,
 )
@@ -72,11 +74,28 @@ def jump_findings(
     thresholds: Config,
     rising: bool,
     lookback_minutes: int = settings.JUMP_LOOKBACK_MINUTES,
+    circular: Sequence[str] = (),
 ) -> DataFrame:
     """Series whose newest value exceeds (or falls short of) the one before it by more
-    than the threshold, both within ``lookback_minutes``."""
+    than the threshold, both within ``lookback_minutes``. Metrics named ``circular`` turn
+    the short way round: from 350 to 10 is a rise of 20."""
+    return jumps_of_pairs(latest_pairs(heads), station, metric, thresholds, rising, lookback_minutes, circular)
+
+
+def jumps_of_pairs(
+    pairs: DataFrame,
+    station: DataFrame,
+    metric: DataFrame,
+    thresholds: Config,
+    rising: bool,
+    lookback_minutes: int = settings.JUMP_LOOKBACK_MINUTES,
+    circular: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`jump_findings` for newest values that are beside the ones before them already."""
     delta = F.col("last_value") - F.col("prev_value")
-    recent = latest_pairs(heads).where(
+    if circular:
+        delta = F.when(F.col("metric_code").isin(*circular), turn(delta)).otherwise(delta)
+    recent = pairs.where(
         F.col("prev_observed_at") >= F.col("last_observed_at") - minutes(lookback_minutes)
     )
     limited = recent.join(metric_limits(metric, thresholds, "threshold"), "metric_id")
@@ -102,9 +121,12 @@ def flatline_findings(
     as_of: Instant = None,
     window_minutes: int = settings.FLATLINE_WINDOW_MINUTES,
     min_points: int = settings.FLATLINE_MIN_POINTS,
+    circular: Sequence[str] = (),
 ) -> DataFrame:
     """Series with enough recent points whose values stay within the epsilon.
 
+    Directions of ``circular`` metrics stay within the smallest arc that holds them all.
+
     The time filter goes first and reaches the scan (and the day partitions, if the
     frame has them); there is no upper bound, so future observations count. Points without a value count as points.
     """
@@ -117,9 +139,15 @@ def flatline_findings(
         F.max("value_num").alias("max_value"),
     )
     enough = spans.where(F.col("points") >= min_points)
-    limited = enough.join(metric_limits(metric, epsilons, "epsilon"), "metric_id").withColumn(
-        "range", F.col("max_value") - F.col("min_value")
-    )
+    spread = F.col("max_value") - F.col("min_value")
+    limited = enough.join(metric_limits(metric, epsilons, "epsilon"), "metric_id")
+    if circular:
+        # Only directions are looked at value by value, and only where the range leaves it open.
+        round_ids = metric.where(F.col("metric_code").isin(*circular)).select("metric_id")
+        directions = recent.join(round_ids, "metric_id", "left_semi")
+        limited = limited.join(arcs(directions, SERIES, "value_num", "arc"), SERIES, "left")
+        spread = F.when(F.col("metric_code").isin(*circular), F.col("arc")).otherwise(spread)
+    limited = limited.withColumn("range", spread.cast(DECIMAL))
     return _watch(limited.where(F.col("range") <= F.col("epsilon")), station).select(
         *SERIES,
         "metric_code",
@@ -150,11 +178,26 @@ def as_anomalies(findings: DataFrame, anomaly_type: str, severity: str) -> DataF
 
 @dataclass(frozen=True)
 class Observed:
-    """What detectors look at: the facts and the two dimensions."""
+    """What detectors look at: the facts and the two dimensions.
+
+    ``heads`` is the stored summary of the series, if there is one. Detectors that need no
+    more than each series' newest rows then leave the facts unread.
+    """
 
     fact: DataFrame
     station: DataFrame
     metric: DataFrame
+    heads: DataFrame | None = None
+
+    @property
+    def newest(self) -> DataFrame:
+        """Rows that hold the newest time of every series."""
+        return self.fact if self.heads is None else self.heads
+
+    @property
+    def pairs(self) -> DataFrame:
+        """The newest two rows of every series."""
+        return series_heads(self.newest)
 
 
 @dataclass(frozen=True)
@@ -169,6 +212,7 @@ class DetectorConfig:
     flatline: Config = None
     flatline_window: int = settings.FLATLINE_WINDOW_MINUTES
     flatline_points: int = settings.FLATLINE_MIN_POINTS
+    circular: tuple[str, ...] = ()  # metrics that are directions in degrees
 
     def __post_init__(self):
         for name, default in (
@@ -192,26 +236,26 @@ class Detector:
 
 
 def _silent(o: Observed, c: DetectorConfig, as_of: Instant) -> DataFrame:
-    return as_anomalies(silent_findings(o.fact, o.station, as_of, c.silent_after), "silent_station", "high")
+    return as_anomalies(silent_findings(o.newest, o.station, as_of, c.silent_after), "silent_station", "high")
 
 
 def _stale(o: Observed, c: DetectorConfig, as_of: Instant) -> DataFrame:
-    return as_anomalies(stale_findings(o.fact, o.station, as_of, c.stale_after), "stale_data", "medium")
+    return as_anomalies(stale_findings(o.newest, o.station, as_of, c.stale_after), "stale_data", "medium")
 
 
 def _spike(o: Observed, c: DetectorConfig, as_of: Instant) -> DataFrame:
-    found = jump_findings(series_heads(o.fact), o.station, o.metric, c.spike, True, c.jump_lookback)
+    found = jump_findings(o.pairs, o.station, o.metric, c.spike, True, c.jump_lookback, c.circular)
     return as_anomalies(found, "spike", "medium")
 
 
 def _drop(o: Observed, c: DetectorConfig, as_of: Instant) -> DataFrame:
-    found = jump_findings(series_heads(o.fact), o.station, o.metric, c.drop, False, c.jump_lookback)
+    found = jump_findings(o.pairs, o.station, o.metric, c.drop, False, c.jump_lookback, c.circular)
     return as_anomalies(found, "drop", "medium")
 
 
 def _flatline(o: Observed, c: DetectorConfig, as_of: Instant) -> DataFrame:
     found = flatline_findings(
-        o.fact, o.station, o.metric, c.flatline, as_of, c.flatline_window, c.flatline_points
+        o.fact, o.station, o.metric, c.flatline, as_of, c.flatline_window, c.flatline_points, c.circular
     )
     return as_anomalies(found, "flatline", "medium")
 

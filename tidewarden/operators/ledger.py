@@ -75,6 +75,9 @@ def ledger_state(events: DataFrame) -> DataFrame:
     recorded = F.col("recorded_at") if "recorded_at" in events.columns else F.lit(None).cast("timestamp")
     later = F.struct(recorded, F.col("event_at"), F.col("status") != "started", F.col("status"))
     last = ["status", "rows_inserted", "rows_updated", "rows_deduped", "error_message"]
+    if "rows_rejected" not in events.columns:
+        events = events.withColumn("rows_rejected", F.lit(None).cast("bigint"))
+    last.append("rows_rejected")
     folded = events.groupBy("run_id").agg(
         F.max_by(F.struct(*last), later).alias("last"),
         F.max("job_name").alias("job_name"),
@@ -123,10 +126,20 @@ def eligible_check_runs(
     check_results: DataFrame,
     ingest_job: str = INGEST_JOB,
     transform_job: str = TRANSFORM_JOB,
+    retry_job: str | None = None,
 ) -> DataFrame:
-    """Succeeded ingest runs with a succeeded transform and no check result yet."""
+    """Succeeded ingest runs with a succeeded transform and no check result yet.
+
+    With ``retry_job`` a run whose last child of that job failed is eligible again, so that
+    what failed is done; results that it has stay as they are.
+    """
     transformed = _parents(runs, transform_job, "succeeded")
     checked = check_results.select("run_id").where(F.col("run_id").isNotNull()).distinct()
+    if retry_job:
+        children = runs.where((F.col("job_name") == retry_job) & F.col("parent_run_id").isNotNull())
+        last = children.groupBy(F.col("parent_run_id").alias("run_id")).agg(
+            F.max_by("status", F.struct("started_at", "run_id")).alias("_last"))
+        checked = checked.join(last.where("_last = 'failed'").select("run_id"), "run_id", "left_anti")
     return (
         _succeeded(runs, ingest_job)
         .join(transformed, "run_id", "left_semi")

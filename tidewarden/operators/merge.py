@@ -33,7 +33,8 @@ def upsert(
     """Merge ``source`` over ``target``; source rows win, later ones over earlier ones.
 
     With ``newest_wins`` a target row that is newer by ``order`` stays, so batches may
-    arrive in any order; the target must then hold the first column of ``order``.
+    arrive in any order. Where the target holds all columns of ``order`` the result does
+    not depend on that order at all; a target row without one is older on a tie.
 
     Result: the merged rows plus ``action`` (kept / inserted / updated) and the
     statement counts ``n_inserted`` and ``n_updated``: of several source rows for a
@@ -47,7 +48,7 @@ def upsert(
         {"_is_source": F.lit(False), **{c: F.lit(None).cast(source.schema[c].dataType) for c in extra_order}}
     )
     source_rows = source.select(*columns, *extra_order, F.lit(True).alias("_is_source"))
-    ranked = [order[0], "_is_source", *order[1:]] if newest_wins else ["_is_source", *order]
+    ranked = [*order, "_is_source"] if newest_wins else ["_is_source", *order]
     merged = (
         target_rows.unionByName(source_rows)
         .groupBy(*keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -202,6 +203,12 @@ def check_status(metric: Column, threshold: Column, operator: Column, severity:
     return F.when(F.coalesce(passed, F.lit(False)), "pass").otherwise(failed)
 
 
+# The parameter of a template, or a literal, a quoted name or a comment, in which the same text is no parameter.
+_PARAMETER = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(?P<parameter>(?<![\w:]):run_id\b)""", re.DOTALL
+)
+
+
 class CheckDefinition(NamedTuple):
     """One row of the check catalogue.
 
@@ -225,8 +232,9 @@ class CheckDefinition(NamedTuple):
 
     @property
     def per_run(self) -> bool:
-        """Whether the template must be bound to one run at a time."""
-        return not self.built_in and bool(self.sql_template) and ":run_id" in self.sql_template
+        """Whether the template has a parameter to bind for each run."""
+        found = not self.built_in and self.sql_template and _PARAMETER.finditer(self.sql_template)
+        return any(m["parameter"] for m in found or ())
 
 
 def active_definitions(catalogue: DataFrame) -> list[CheckDefinition]:
@@ -250,14 +258,19 @@ class Checked:
     fact: DataFrame
     station: DataFrame
     metric: DataFrame
+    heads: DataFrame | None = None  # stored summary of the series, instead of the facts where it suffices
+
+    @property
+    def newest(self) -> DataFrame:
+        return self.fact if self.heads is None else self.heads
 
 
 TableMetric = Callable[[Checked, Instant], DataFrame]
 
 # Metrics of whole tables: the same value for every run checked now.
 TABLE_METRICS: Mapping[str, TableMetric] = {
-    "fact_freshness_minutes": lambda t, now: freshness_minutes(t.fact, now),
-    "metric_completeness_pct": lambda t, now: completeness_pct(t.fact, t.metric),
+    "fact_freshness_minutes": lambda t, now: freshness_minutes(t.newest, now),
+    "metric_completeness_pct": lambda t, now: completeness_pct(t.newest, t.metric),
     "late_data_rate_pct_all_time": lambda t, now: late_rate_pct(t.fact),
     "raw_duplicate_key_count": lambda t, now: duplicate_keys(t.raw, KEYS["raw_observations"]),
     "fact_duplicate_key_count": lambda t, now: duplicate_keys(t.fact, KEYS["fact_observation"]),
@@ -276,15 +289,20 @@ RUN_METRICS: Mapping[str, Callable[[Checked], DataFrame]] = {
 def template_metrics(runs: DataFrame, definition: CheckDefinition) -> DataFrame:
     """``(run_id, metric_value)`` of a ``:run_id`` template for all runs, as one query.
 
-    The parameter becomes a column of the runs and the template a lateral subquery. A
-    template that returns several rows for a run is an error, one that returns none
-    gives a null metric.
+    The template becomes a table function of the session with a parameter, called for the runs'
+    column: the same text in a literal or a comment stays text. A template that returns
+    several rows for a run is an error, one that returns none gives a null metric.
     """
-    runs.select("run_id").createOrReplaceTempView("runs_to_check")
-    bound = re.sub(r":run_id\b", "runs_to_check.run_id", definition.sql_template)
-    rows = runs.sparkSession.sql(
-        f"SELECT runs_to_check.run_id, _found.{METRIC} FROM runs_to_check LEFT JOIN LATERAL ({bound}) AS _found"
+    spark, function = runs.sparkSession, f"check_{definition.check_id}_{uuid.uuid4().hex}"
+    body = _PARAMETER.sub(lambda m: f"{function}.run_id" if m["parameter"] else m[0], definition.sql_template)
+    spark.sql(
+        f"""CREATE TEMPORARY FUNCTION {function}(run_id STRING) RETURNS TABLE ({METRIC} {DECIMAL})
+            RETURN SELECT CAST({METRIC} AS {DECIMAL}) FROM (\n{body}\n)"""
     )
+    rows = spark.sql(
+        f"SELECT r.run_id, f.{METRIC} FROM {{runs}} AS r LEFT JOIN LATERAL {function}(r.run_id) AS f", runs=runs.select("run_id")
+    )
+    spark.sql(f"DROP TEMPORARY FUNCTION {function}")  # the query holds its body by now
     several = F.raise_error(F.lit(f"check {definition.name} returned several rows for a run"))
     metric = F.max(METRIC)
     return rows.groupBy("run_id").agg(F.when(F.count("*") > 1, several).otherwise(metric).alias(METRIC))
@@ -299,6 +317,15 @@ def template_checks(runs: DataFrame, definitions: Sequence[CheckDefinition], as_
     return _results(wide, active, as_of)
 
 
+def check_results(
+    runs: DataFrame, definition: CheckDefinition, tables: Checked, as_of: Instant = None
+) -> DataFrame:
+    """Results of one check for every run."""
+    if definition.per_run:
+        return template_checks(runs, [definition], as_of)
+    return run_checks(runs, [definition], tables, as_of)
+
+
 def run_checks(
     runs: DataFrame, definitions: Sequence[CheckDefinition], tables: Checked, as_of: Instant = None
 ) -> DataFrame:

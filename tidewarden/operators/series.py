@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewarden.operators.merge import first_per_key
+from tidewarden.schemas import SCHEMAS
 
 SERIES = ["station_id", "metric_id"]
 
@@ -47,6 +48,17 @@ def series_heads(fact: DataFrame, n: int = 2) -> DataFrame:
     return first_per_key(narrow, SERIES, [F.desc("observed_at")], n)
 
 
+def newest_rows(fact: DataFrame, n: int = 2) -> DataFrame:
+    """The newest ``n`` rows of every series with all columns of the stored summary.
+
+    ``fact`` has one row per series and time. The summary holds every series' newest time
+    and the two rows a jump needs, so it stands in for the facts wherever only these
+    are looked at: last-seen times, jumps, freshness, completeness.
+    """
+    narrow = fact.select(*SCHEMAS["series_head"].fieldNames())
+    return first_per_key(narrow, SERIES, [F.desc("observed_at")], n)
+
+
 def latest_pairs(heads: DataFrame) -> DataFrame:
     """Newest row of every series next to the one before it, given the series heads.
 

@@ -5,8 +5,13 @@ from __future__ import annotations
 import hashlib
 import traceback
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from tidewarden import settings
@@ -16,10 +21,11 @@ from tidewarden.functions.text import digest
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, transform
 from tidewarden.operators.merge import upsert, upsert_counts
 from tidewarden.schemas import KEYS, SCHEMAS
-from tidewarden.sources.payloads import read_payloads
-from tidewarden.sources.warehouse import DAYS, Warehouse, staged, touched_days
+from tidewarden.sources.payloads import CORRUPT, SOURCE_FILE, read_payloads
+from tidewarden.sources.warehouse import DAYS, Warehouse, staged, staged_counted, touched_days
 
 RAW, FACT = "raw_observations", "fact_observation"
+CHECKS_AT_ONCE = 8
 
 
 def run_identity(job: str, name: str) -> str:
@@ -60,14 +66,28 @@ def ingest_documents(
     metrics: Sequence[settings.PayloadMetric] = settings.PAYLOAD_METRICS,
     provider: str = settings.PROVIDER,
 ) -> dict:
-    """Reshape documents of active stations and append them to raw; returns the run's counters."""
+    """Reshape documents of active stations and append them to raw; returns the run's counters.
+
+    Lines that the reader could not parse are set aside in ``ops_rejected_document``. The lines are parsed once,
+    and the same pass counts the ones to set aside.
+    """
+    rejected = 0
+    if CORRUPT in documents.columns:
+        is_bad = F.col(CORRUPT).isNotNull()
+        landed, seen = staged_counted(documents, "landed", bad=F.count_if(is_bad))
+        rejected = seen["bad"]
+        if rejected:
+            wh.append("ops_rejected_document", _rejected(landed.where(is_bad), run_id, as_of))
+        documents = landed.where(~is_bad).drop(CORRUPT, SOURCE_FILE)
     wanted = detectors.active_stations(wh.read("dim_station")).select("station_external_id").distinct()
     rows = payload.payload_rows(
         documents.join(wanted, "station_external_id", "left_semi"), as_of, metrics, provider
     )
-    batch = staged(
-        rows.withColumns({"ingested_at": instant(as_of), "ingest_run_id": F.lit(run_id)}), "ingest"
-    ).select(*SCHEMAS[RAW].fieldNames())
+    written, span = staged_counted(
+        rows.withColumns({"ingested_at": instant(as_of), "ingest_run_id": F.lit(run_id)}), "ingest",
+        watermark_from=F.min("observed_at"), watermark_to=F.max("observed_at"),
+    )
+    batch = written.select(*SCHEMAS[RAW].fieldNames())
     partition, time = DAYS[RAW]
     # A rerun finds its own rows; they do not count as a target to update.
     earlier = wh.stored(RAW).where(touched_days(batch, F.to_date(time), partition)).where(
@@ -78,15 +98,25 @@ def ingest_documents(
     counted = upsert_counts(
         upsert(known.withColumn("ingested_at", F.lit(None).cast("timestamp")), batch, keys, ["ingested_at"])
     )
-    span = ledger.run_watermarks(batch)
-    counts = {**counted.first().asDict(), **_first_or_empty(span.select("watermark_from", "watermark_to"))}
+    counts = {**counted.first().asDict(), **span, "rows_rejected": rejected}
+    # The days come first: a run that is found in raw has them noted.
+    wh.append("ops_run_day", run_days(batch))
     wh.append(RAW, batch)
     return counts
 
 
-def _first_or_empty(df: DataFrame) -> dict:
-    row = df.first()
-    return row.asDict() if row else {}
+def run_days(raw: DataFrame) -> DataFrame:
+    """Days on which each run wrote raw rows: what a transform of the run has to read."""
+    return raw.groupBy(F.col("ingest_run_id").alias("run_id"), F.to_date(DAYS[RAW][1]).alias("observed_date")).agg(
+        F.count("*").alias("n_rows"))
+
+
+def _rejected(lines: DataFrame, run_id: str, as_of: Instant) -> DataFrame:
+    parsed = [c for c in lines.columns if c not in (CORRUPT, SOURCE_FILE)]
+    return lines.select(
+        F.lit(run_id).alias("run_id"), F.col(SOURCE_FILE).alias("source_file"), F.col(CORRUPT).alias("record"),
+        F.to_json(F.struct(*parsed)).alias("parsed"), instant(as_of).alias("rejected_at"),
+    )
 
 
 def ingest_frame(
@@ -129,8 +159,13 @@ def transform_pending(
     its size is known when the join is planned.
     """
     work = staged(runs.select("run_id", F.col("started_at").alias("run_started_at")), "runs")
+    return newest_of_runs(transform.to_facts(transform.of_runs(raw, work), station, metric), tie_order)
+
+
+def newest_of_runs(rows: DataFrame, tie_order: Sequence[str] = ("source", "value_num")) -> DataFrame:
+    """One row per fact key of the rows of several runs, as if they were transformed in their order."""
     order = ["run_started_at", "ingest_run_id", "ingested_at", *tie_order]
-    return transform.latest_facts(transform.of_runs(raw, work), station, metric, order)
+    return transform.latest_wins(rows, KEYS[FACT], order).select(*SCHEMAS[FACT].fieldNames())
 
 
 def select_runs(runs: DataFrame, run_ids: Sequence[str] | None, retry_failed: bool = False) -> DataFrame:
@@ -172,23 +207,19 @@ def transform_runs(
     )
     wh.append("ops_job_event", ledger.events_for(child, settings.TRANSFORM_JOB, "started", as_of))
     try:
-        # The runs' watermarks bound the days to read. Runs that stored nothing have none;
-        # one that may have stored rows without noting them makes it all days.
-        partition, time = DAYS[RAW]
-        span = F.col(partition).between(low, high) if not unbounded else F.lit(True)
-        # A narrow scan finds the days that hold rows of these runs; only those are folded.
-        mine = wh.stored(RAW).where(span).select("ingest_run_id", partition, time).join(
-            work.select(F.col("run_id").alias("ingest_run_id")), "ingest_run_id", "left_semi"
-        )
-        days = touched_days(mine, F.col(partition), partition)
-        raw = transform.of_runs(wh.current_raw(days), work.select("run_id", F.col("started_at").alias("run_started_at")))
+        # The noted days of the runs are read. Runs from before days were noted are bounded by
+        # their watermarks; one that may have stored rows without either makes it all days.
+        partition = DAYS[RAW][0]
+        noted = wh.read("ops_run_day").join(work.select("run_id"), "run_id", "left_semi")
+        days = touched_days(noted, F.col("observed_date"), partition)
+        if not work.where("has_rows").join(noted.select("run_id").distinct(), "run_id", "left_anti").isEmpty():
+            days = F.lit(True) if unbounded else days | F.col(partition).between(low, high)
+        started = work.select("run_id", F.col("started_at").alias("run_started_at"))
+        raw = transform.of_runs(wh.current_raw(days, work), started)
         if unit_factors is not None:
             raw = transform.normalize_units(raw, unit_factors, metric=wh.read("dim_metric"))
         facts = staged(transform.to_facts(raw, wh.read("dim_station"), wh.read("dim_metric")), "transform-facts")
-        columns = SCHEMAS[FACT].fieldNames()
-        order = ["run_started_at", "ingest_run_id", "ingested_at", "source", "value_num"]
-        newest = transform.latest_wins(facts, KEYS[FACT], order)
-        wh.merge_facts(newest.select(*columns))
+        wh.merge_facts(newest_of_runs(facts))
         stats = ledger.run_watermarks(facts.select("ingest_run_id", "observed_at"))
     except Exception as error:
         text = f"{type(error).__name__}: {error}\n{traceback.format_exc(limit=8)}"
@@ -208,16 +239,19 @@ def check_runs(
 ) -> int:
     """Quality checks for every eligible ingest run. Returns the number of results stored.
 
-    The results are stored together. If a check cannot be computed none is: the runs'
-    check runs end as failed with the error, and the runs stay eligible.
+    Each check is a job of its own, several at a time, each in a scheduler pool of its name, with a row in
+    ``ops_dq_check_outcome``. One that cannot be computed leaves the results of the others as they are; the
+    runs' check runs then end as failed with its error, and the next call computes what is missing. If no
+    check can be computed the first error is raised.
     """
     if definitions is None:
         definitions = quality.active_definitions(wh.read("ops_dq_check_definition"))
+    active = [d for d in definitions if d.is_active]
     stored = wh.read("ops_dq_check_run")
-    eligible = staged(
-        ledger.eligible_check_runs(wh.read("ops_job_run"), stored).select("run_id"), "check-runs"
+    eligible, seen = staged_counted(
+        ledger.eligible_check_runs(wh.read("ops_job_run"), stored, retry_job=settings.CHECKS_JOB).select("run_id"), "check-runs"
     )
-    if eligible.isEmpty():
+    if not seen["n"]:
         return 0
     begun = datetime.now(timezone.utc)
     child = eligible.select(
@@ -225,27 +259,65 @@ def check_runs(
         F.col("run_id").alias("parent_run_id"),
     )
     wh.append("ops_job_event", ledger.events_for(child, settings.CHECKS_JOB, "started", as_of))
-    try:
-        if any(d.is_active and d.sql_template and not d.built_in for d in definitions):
-            for name in (RAW, FACT, "dim_station", "dim_metric", "ops_job_run"):
-                wh.read(name).createOrReplaceTempView(name)
-            eligible.createOrReplaceTempView("eligible_runs")
-        # Duplicates are those of the current raw rows: the stored log repeats re-delivered keys.
-        tables = quality.Checked(wh.read(RAW), wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
-        results = quality.run_checks(eligible, definitions, tables, as_of)
-        if any(d.is_active and d.per_run for d in definitions):
-            results = results.unionByName(quality.template_checks(eligible, definitions, as_of))
-        fresh = staged(quality.new_check_results(stored, results), "check-results")
-    except Exception as error:
-        text = f"{type(error).__name__}: {error}\n{traceback.format_exc(limit=8)}"
-        failed = child.withColumn("error_message", F.lit(text[: settings.MESSAGE_LIMIT]))
-        wh.append("ops_job_event", ledger.events_for(failed, settings.CHECKS_JOB, "failed", _since(as_of, begun)))
-        raise
-    wh.append("ops_dq_check_run", fresh)
-    total = fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
-    done = child.join(total, "parent_run_id", "left")
-    wh.append("ops_job_event", ledger.events_for(done, settings.CHECKS_JOB, "succeeded", _since(as_of, begun)))
-    return fresh.count()
+    if any(d.sql_template and not d.built_in for d in active):
+        for name in (RAW, FACT, "dim_station", "dim_metric", "ops_job_run"):
+            wh.read(name).createOrReplaceTempView(name)
+        eligible.createOrReplaceTempView("eligible_runs")
+    # Duplicates are those of the current raw rows: the stored log repeats re-delivered keys.
+    tables = quality.Checked(wh.read(RAW), wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"), wh.heads())
+    outcomes = _computed_apart(wh, eligible, active, tables, as_of)
+    rows = [(d.name, as_of, "failed" if o.error else "succeeded", seen["n"], o.n_results, o.duration_ms,
+             str(o.error)[: settings.MESSAGE_LIMIT] if o.error else None) for d, o in zip(active, outcomes)]
+    wh.append("ops_dq_check_outcome", constant_frame(wh.spark, rows, SCHEMAS["ops_dq_check_outcome"]))
+    errors = [f"{d.name}: {type(o.error).__name__}: {o.error}" for d, o in zip(active, outcomes) if o.error]
+    results = [o.results for o in outcomes if o.results is not None]
+    n_stored, counted = 0, child.withColumn("rows_inserted", F.lit(0))
+    if results:
+        new = quality.new_check_results(stored, reduce(DataFrame.unionByName, results))
+        fresh, found = staged_counted(new, "check-results")
+        wh.append("ops_dq_check_run", fresh)
+        n_stored = found["n"]
+        total = fresh.groupBy(F.col("run_id").alias("parent_run_id")).agg(F.count("*").alias("rows_inserted"))
+        counted = child.join(total, "parent_run_id", "left")
+    status = "failed" if errors else "succeeded"
+    if errors:
+        counted = counted.withColumn("error_message", F.lit("\n".join(errors)[: settings.MESSAGE_LIMIT]))
+    wh.append("ops_job_event", ledger.events_for(counted, settings.CHECKS_JOB, status, _since(as_of, begun)))
+    if errors and not results:
+        raise next(o.error for o in outcomes if o.error)
+    return n_stored
+
+
+@dataclass(frozen=True)
+class CheckOutcome:
+    """What became of one check: its results, or the error."""
+
+    results: DataFrame | None
+    n_results: int
+    duration_ms: int
+    error: Exception | None = None
+
+
+def _computed_apart(
+    wh: Warehouse, runs: DataFrame, definitions: Sequence[quality.CheckDefinition], tables: quality.Checked, as_of: Instant
+) -> list[CheckOutcome]:
+    """Every check's results, written by a job of its own; jobs are submitted side by side."""
+    context = wh.spark.sparkContext
+
+    @inheritable_thread_target(wh.spark)
+    def computed(definition: quality.CheckDefinition) -> CheckOutcome:
+        begun = datetime.now(timezone.utc)
+        context.setLocalProperty("spark.scheduler.pool", definition.name)
+        try:
+            results, seen = staged_counted(quality.check_results(runs, definition, tables, as_of), "check")
+            error, n = None, seen["n"]
+        except Exception as failure:
+            results, n, error = None, 0, failure
+        took = (datetime.now(timezone.utc) - begun).total_seconds()
+        return CheckOutcome(results, n, int(took * 1000), error)
+
+    with ThreadPoolExecutor(max_workers=CHECKS_AT_ONCE) as pool:
+        return list(pool.map(computed, definitions))
 
 
 def detect_and_open_incidents(
@@ -257,13 +329,16 @@ def detect_and_open_incidents(
 ) -> str:
     """Detect, open or touch incidents, link, store new anomalies. Returns the run id.
 
+    The summary of the series is what all detectors but the flatline one read, and that one reads the days of its
+    window. The writes themselves count the rows.
+
     Each detector is a run of its own with a start, a final row and its own duration. One
     that fails is recorded and does not undo or stop the others; the run fails after
     the last. With ``respect_switches`` types that the type table disables are left out.
     """
 
     def body(run_id: str) -> dict:
-        observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"))
+        observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"), wh.heads())
         inserted, failures = 0, []
         for detector in registry:
             begun = datetime.now(timezone.utc)
@@ -272,15 +347,14 @@ def detect_and_open_incidents(
                 detected = detectors.detect_all(observed, config, as_of, [detector])
                 if respect_switches:
                     detected = detectors.enabled_only(detected, wh.read("ops_anomaly_type"))
-                found = staged(incidents.stamp_anomalies(detected, as_of), "detected")
-                fresh, links = store_anomalies(wh, found, as_of)
+                found, seen = staged_counted(incidents.stamp_anomalies(detected, as_of), "detected")
+                stored = store_anomalies(wh, found, as_of)
             except Exception as error:
                 failures.append(error)
                 _store_detector_run(wh, run_id, detector.name, begun, error=f"{type(error).__name__}: {error}")
             else:
-                counts = (found.count(), fresh.count(), links.count())
-                _store_detector_run(wh, run_id, detector.name, begun, counts)
-                inserted += counts[1]
+                _store_detector_run(wh, run_id, detector.name, begun, (seen["n"], stored.n_new, stored.n_linked))
+                inserted += stored.n_new
         if failures:
             raise failures[0]
         return {"rows_inserted": inserted}
@@ -288,16 +362,25 @@ def detect_and_open_incidents(
     return _with_ledger(wh, settings.DETECTION_JOB, as_of, body)
 
 
-def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> tuple[DataFrame, DataFrame]:
+class Stored(NamedTuple):
+    """New anomalies and new links, and how many there are."""
+
+    anomalies: DataFrame
+    links: DataFrame
+    n_new: int
+    n_linked: int
+
+
+def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> Stored:
     """Group new anomalies into incidents, then insert-or-ignore the stamped anomalies.
 
-    Returns the new anomalies and the new links. An anomaly is stored last: as long as it
+    An anomaly is stored last: as long as it
     is not, a rerun finds it new again, meets the incident that it opened and its link,
     whose ids are digests, and completes what is missing.
     """
     partition, time = DAYS["ops_anomaly"]
     known = wh.stored("ops_anomaly").where(touched_days(found, F.to_date(time), partition))
-    fresh = staged(incidents.new_anomalies(known, found), "new-anomalies")
+    fresh, seen = staged_counted(incidents.new_anomalies(known, found), "new-anomalies")
     current = wh.read("ops_incident")
     resolved = staged(incidents.resolve_incidents(current, fresh), "incidents")
     opened = incidents.opened_incidents(resolved, as_of)
@@ -305,12 +388,12 @@ def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> tuple[Da
     touched = incidents.touch_incidents(reused, resolved, as_of)
     versions = opened.unionByName(touched.select(*opened.columns)).withColumn("version_at", instant(as_of))
     wh.append("ops_incident", staged(versions, "incident-versions"))
-    links = staged(
+    links, linked = staged_counted(
         incidents.link_incidents(wh.read("ops_incident_anomaly"), resolved, fresh, as_of), "links"
     )
     wh.append("ops_incident_anomaly", links)
     wh.append("ops_anomaly", fresh)
-    return fresh, links
+    return Stored(fresh, links, seen["n"], linked["n"])
 
 
 def _store_detector_run(

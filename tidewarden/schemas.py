@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DataType, DecimalType, IntegerType, LongType, StringType, StructType, TimestampType,
+    ArrayType, BooleanType, DataType, DateType, DecimalType, IntegerType, LongType, StringType, StructType, TimestampType,
 )
 
 DECIMAL = "decimal(18,6)"
@@ -27,12 +27,15 @@ _DDL = {
         run_id string, job_name string, status string, event_at timestamp,
         watermark_from timestamp, watermark_to timestamp,
         rows_inserted bigint, rows_updated bigint, rows_deduped bigint,
-        error_message string, parent_run_id string, recorded_at timestamp""",
+        error_message string, parent_run_id string, recorded_at timestamp, rows_rejected bigint""",
     "ops_job_run": """
         run_id string, job_name string, status string, started_at timestamp, ended_at timestamp,
         watermark_from timestamp, watermark_to timestamp,
         rows_inserted bigint, rows_updated bigint, rows_deduped bigint,
-        error_message string, parent_run_id string""",
+        error_message string, parent_run_id string, rows_rejected bigint""",
+    "ops_run_day": "run_id string, observed_date date, n_rows bigint",
+    "ops_rejected_document": """
+        run_id string, source_file string, record string, parsed string, rejected_at timestamp""",
     "raw_observations": f"""
         source string, station_external_id string, observed_at timestamp, metric_code string,
         value_num {DECIMAL}, value_text string, unit string, quality_flag string,
@@ -40,6 +43,14 @@ _DDL = {
     "fact_observation": f"""
         station_id bigint, metric_id bigint, observed_at timestamp, value_num {DECIMAL},
         source string, ingested_at timestamp, is_late boolean, ingest_run_id string""",
+    "series_head": f"""
+        station_id bigint, metric_id bigint, observed_at timestamp, value_num {DECIMAL},
+        source string, ingested_at timestamp, ingest_run_id string""",
+    "series_pair": f"""
+        station_id bigint, metric_id bigint, last_at bigint, last_value {DECIMAL}, prev_at bigint,
+        prev_value {DECIMAL}, version bigint""",
+    "series_quiet": "station_id bigint, metric_id bigint, at bigint, quiet boolean, version bigint",
+    "station_quiet": "station_id bigint, at bigint, quiet boolean, version bigint",
     "ops_anomaly_type": """
         anomaly_type_id int, anomaly_type string, description string, default_severity string,
         is_enabled boolean, created_at timestamp""",
@@ -57,6 +68,9 @@ _DDL = {
     "ops_dq_check_run": f"""
         dq_run_id string, run_id string, check_name string, status string, evaluated_at timestamp,
         metric_value {DECIMAL}, threshold {DECIMAL}, reason string, dq_check_id int""",
+    "ops_dq_check_outcome": """
+        check_name string, evaluated_at timestamp, status string, n_runs bigint, n_results bigint,
+        duration_ms bigint, error_message string""",
     "ops_incident": """
         incident_id string, status string, opened_at timestamp, resolved_at timestamp,
         anomaly_id string, owner string, notes string, anomaly_type string, station_id bigint,
@@ -70,6 +84,7 @@ _TYPES: dict[str, DataType] = {
     "array<string>": ArrayType(StringType()),
     "bigint": LongType(),
     "boolean": BooleanType(),
+    "date": DateType(),
     DECIMAL: DecimalType(18, 6),
     "int": IntegerType(),
     "string": StringType(),

@@ -21,19 +21,23 @@ from tidewarden.operators.merge import first_per_key, latest_wins
 from tidewarden.operators.series import SERIES
 from tidewarden.plans.jobs import store_anomalies
 from tidewarden.schemas import DECIMAL, KEYS
-from tidewarden.sources.warehouse import Warehouse, staged
+from tidewarden.sources.warehouse import FACT_ORDER, Warehouse, staged
 
-HEAD_SCHEMA = f"station_id bigint, metric_id bigint, observed_at timestamp, value_num {DECIMAL}, ingested_at timestamp"
+HEAD_SCHEMA = (
+    f"station_id bigint, metric_id bigint, observed_at timestamp, value_num {DECIMAL}, ingested_at timestamp, "
+    "ingest_run_id string, source string"
+)
 
 
 def update_heads(heads: DataFrame, facts: DataFrame) -> DataFrame:
     """Newest two observations of every series after new facts arrived.
 
-    A corrected observation replaces the one it repeats before the two are chosen.
+    A corrected observation replaces the one it repeats before the two are chosen, by the order
+    that the facts are merged by.
     """
     columns = heads.columns
     both = heads.unionByName(facts.select(*columns))
-    corrected = latest_wins(both, KEYS["fact_observation"], ["ingested_at", "value_num"])
+    corrected = latest_wins(both, KEYS["fact_observation"], [c for c in FACT_ORDER if c in columns])
     return first_per_key(corrected, SERIES, [F.desc("observed_at")], n=2).select(*columns)
 
 
