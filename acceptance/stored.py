@@ -366,11 +366,27 @@ def stream_jump_state(g: Given) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+CLOCK = "(SELECT now FROM clock)"
+
+
 @query(f"""SELECT 'silent_station' AS detector, station_id, -1 AS metric_id_dedup, last_observed_at,
-                  {minutes_2(NOW, 'last_observed_at')} AS minutes FROM t_silent
-           UNION ALL SELECT 'stale_data', station_id, metric_id, last_observed_at, {minutes_2(NOW, 'last_observed_at')} FROM t_stale""")
+                  {minutes_2(CLOCK, 'last_observed_at')} AS minutes
+           FROM (SELECT s.station_id, max(f.observed_at) AS last_observed_at FROM t_watch s
+                 LEFT JOIN t_fact f ON f.station_id = s.station_id GROUP BY s.station_id)
+           WHERE last_observed_at IS NULL OR last_observed_at < {CLOCK} - INTERVAL {DETECTION.silent_after} MINUTE
+           UNION ALL
+           SELECT 'stale_data', station_id, metric_id, last_observed_at, {minutes_2(CLOCK, 'last_observed_at')}
+           FROM (SELECT f.station_id, f.metric_id, max(f.observed_at) AS last_observed_at FROM t_fact f
+                 JOIN t_watch s ON s.station_id = f.station_id GROUP BY ALL)
+           WHERE last_observed_at < {CLOCK} - INTERVAL {DETECTION.stale_after} MINUTE""",
+       local="clock AS (SELECT max(ts) AS now FROM events JOIN t_fact_rows ON id = event_id)")
 def stream_silence(g: Given) -> DataFrame:
-    """Silent stations and stale series as the stream's timers reported them, without a scan of the facts."""
+    """Silent stations and stale series as the stream's timers reported them, without a scan of the facts.
+
+    The stream's clock is the newest arrival of a fact.
+    """
+    arrived = to_facts(raw_from_events(g.load("events"), keep=("ts",)), g.station_core, g.metric)
+    clock = arrived.agg(F.max("ts")).scalar()
     wh = _warehouse(g)
     watched = detectors.monitored(g.station_core).select("station_id")
     keyed = (
@@ -381,7 +397,7 @@ def stream_silence(g: Given) -> DataFrame:
     parts = []
     for name, table, keys, after, known in keyed:
         state.start_quiet(facts, wh, table, shared_folder(g.spark, "checkpoint"), keys, after, known, arrival="ts").awaitTermination()
-        quiet = state.quiet_findings(wh.stored(table), keys, g.station_core, g.as_of, "minutes")
+        quiet = state.quiet_findings(wh.stored(table), keys, g.station_core, clock, "minutes")
         metric_id = F.col("metric_id").cast("int") if "metric_id" in keys else F.lit(-1)
         parts.append(quiet.select(
             F.lit(name).alias("detector"), "station_id", metric_id.alias("metric_id_dedup"), "last_observed_at", "minutes"))

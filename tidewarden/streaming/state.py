@@ -243,7 +243,7 @@ def quiet_keys(
 ) -> DataFrame:
     """A stream of facts to a stream of ``keys, at, quiet, version``: which keys are quiet by the stream's clock.
 
-    The clock is the largest ``arrival`` less ``lateness``. A row that arrives with an ``arrival`` before the clock is
+    The clock is the largest ``arrival`` of the rows given in, less ``lateness``. A row that arrives with an ``arrival`` before the clock is
     not looked at, so ``lateness`` has to cover the disorder of the source. ``known`` lists keys to expect.
     """
     spark = facts.sparkSession
