@@ -24,6 +24,7 @@ UNKNOWN = "und"
 SAMPLE_ROWS = 512
 PIECE = 200
 SAMPLE_BYTES = 40_000
+SPREAD = 64
 # Texts are parsed in segments of so many bytes, all side by side; a phrase ends where its segment does.
 SEGMENT = 1024
 BATCH_BYTES = 2 << 20
@@ -84,13 +85,17 @@ def sample(documents: DataFrame) -> DataFrame:
     """(lang, place, piece) of at most ``SAMPLE_ROWS`` rows a language, chosen by a hash of their ids.
 
     A piece starts at a place that the text's hash chooses, so copies give equal pieces. Tasks keep their first
-    rows before the exchange, so a language with most rows sends no more than another.
+    rows before the exchange, so a language with most rows sends no more than another; the tasks' rows of a
+    language meet in ``SPREAD`` groups first, so that their number does not matter either.
     """
     start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - PIECE, F.lit(0)) + 1).cast("int") + 1
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    pieces = labelled.select("lang", F.xxhash64("doc_id").alias("place"), F.substring(F.col("text"), start, F.lit(PIECE)).alias("piece"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "piece"))
-    return pieces.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).drop("rank")
+    group = F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("group")
+    pieces = labelled.select("lang", group, F.xxhash64("doc_id").alias("place"), F.substring(F.col("text"), start, F.lit(PIECE)).alias("piece"))
+    for keys in (["lang", "group"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("place", "piece"))
+        pieces = pieces.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).drop("rank")
+    return pieces.drop("group")
 
 
 def _learnt(rows: pd.DataFrame) -> pd.DataFrame:
