@@ -223,22 +223,7 @@ class Given:
 
     @cached_property
     def anomaly(self) -> DataFrame:
-        kind = F.col("event_type")
-        named = (
-            F.when(kind == "click", "spike").when(kind == "view", "drop").when(kind == "signup", "flatline")
-            .when(kind == "purchase", "stale_data").when(kind == "error", "silent_station")
-        )
-        metric_id = F.when(kind != "error", F.col("event_id") % 5 + 1)
-        return self.load("events").select(
-            F.col("event_id").alias("anomaly_id"),
-            named.alias("anomaly_type"),
-            F.col("ts").alias("detected_at"),
-            F.col("user_id").alias("station_id"),
-            metric_id.alias("metric_id"),
-            F.coalesce(metric_id, F.lit(-1)).alias("metric_id_dedup"),
-            F.date_trunc("hour", "ts").alias("detected_hour"),
-            F.when(kind == "error", "high").otherwise("medium").alias("severity"),
-        )
+        return anomalies_from_events(self.load("events"))
 
     @cached_property
     def anomaly_types(self) -> DataFrame:
@@ -328,12 +313,16 @@ def _zoned(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else rows
 
 
+def stored_after(props: Column) -> Column:
+    """How long after its time an event's row is stored."""
+    return minutes(F.get_json_object(props, "$.k").cast("int") * 15)
+
+
 def raw_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw observations of an event frame; row by row, so it serves streams too. ``keep`` names event columns to carry."""
     key, ts = F.col("event_id"), F.col("ts")
     no_number = (key % 50 == 0) | (key % 101 == 0)
     has_text = ((key % 50 == 0) | (key % 97 == 0)) & (key % 101 != 0)
-    delay = F.get_json_object("props", "$.k").cast("int") * 15
     return events.select(
         key.alias("id"),
         F.lit("events").alias("source"),
@@ -344,27 +333,51 @@ def raw_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.when(has_text, F.col("value").cast("string")).alias("value_text"),
         F.when(key % 10 == 0, "cents").otherwise("USD").alias("unit"),
         F.col("props").alias("source_payload"),
-        (ts + minutes(delay)).alias("ingested_at"),
+        (ts + stored_after(F.col("props"))).alias("ingested_at"),
         F.concat(F.lit("ev-"), F.to_date(ts).cast("string")).alias("ingest_run_id"),
         *keep,
     )
 
 
-def ordered_event_stream(g: Given, parts: int = 4) -> DataFrame:
-    """The events as a stream of one file per micro-batch, each with the events of one span of time."""
+def ordered_event_stream(g: Given, parts: int = 4, late: bool = False) -> DataFrame:
+    """The events as a stream of one file per micro-batch, each with the events that arrived in one span of time.
+
+    ``late``: an event arrives when its row is stored, hours after its time, and not when it happens.
+    """
     folder = shared_folder(g.spark, "events")
     events = g.spark.read.schema(SCHEMAS["events"]).parquet(f"{g.sf_dir}/events.parquet")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    arrival = F.col("ts") + stored_after(F.col("props")) if late else F.col("ts")
+    first, last = events.agg(F.min(arrival), F.max(arrival)).first()
     edges = [first + (last - first) * k / parts for k in range(1, parts)]
     for low, high in zip([None, *edges], [*edges, None]):
-        span = events.where(F.col("ts") >= F.lit(low)) if low else events
-        span = span.where(F.col("ts") < F.lit(high)) if high else span
+        span = events.where(arrival >= F.lit(low)) if low else events
+        span = span.where(arrival < F.lit(high)) if high else span
         # Written one after the other: a file source takes older files first.
         span.coalesce(1).write.mode("append").parquet(folder)
     reader = g.spark.readStream.schema(StructType.fromDDL(SCHEMAS["events"]))
     return _zoned(reader.option("maxFilesPerTrigger", 1).parquet(folder))
 
 
+def anomalies_from_events(events: DataFrame) -> DataFrame:
+    """Anomalies of an event frame; row by row, so it serves streams too."""
+    kind = F.col("event_type")
+    named = (
+        F.when(kind == "click", "spike").when(kind == "view", "drop").when(kind == "signup", "flatline")
+        .when(kind == "purchase", "stale_data").when(kind == "error", "silent_station")
+    )
+    metric_id = F.when(kind != "error", F.col("event_id") % 5 + 1)
+    return events.select(
+        F.col("event_id").alias("anomaly_id"),
+        named.alias("anomaly_type"),
+        F.col("ts").alias("detected_at"),
+        F.col("user_id").alias("station_id"),
+        metric_id.alias("metric_id"),
+        F.coalesce(metric_id, F.lit(-1)).alias("metric_id_dedup"),
+        F.date_trunc("hour", "ts").alias("detected_hour"),
+        F.when(kind == "error", "high").otherwise("medium").alias("severity"),
+    )
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table, a file or a folder of files, as a stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

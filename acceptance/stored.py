@@ -5,13 +5,14 @@ Each builds its tables in a new shared folder from the given ones, runs the job
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from acceptance.ctes import floor_seconds, minutes_2, percent
 from acceptance.given import (
-    CHECKS, DETECTION, DOCUMENT_METRICS, DOCUMENT_TIME, JUMPS, Given, ordered_event_stream, raw_from_events,
+    CHECKS, DETECTION, DOCUMENT_METRICS, DOCUMENT_TIME, JUMPS, Given, anomalies_from_events, ordered_event_stream,
+    raw_from_events,
 )
 from acceptance.queries import CHECK_VALUES, FACT_COLUMNS, FRESH_SQL, JUMP_SQL, NOW, STATUS_SQL, query
 from tidewarden.functions import access
@@ -23,7 +24,9 @@ from tidewarden.schemas import DECIMAL, SCHEMAS
 from tidewarden.session import shared_folder
 from tidewarden.settings import INGEST_JOB, TRANSFORM_JOB
 from tidewarden.sources.warehouse import Warehouse
-from tidewarden.streaming import state
+from tidewarden.streaming import arrivals, state
+from tidewarden.streaming import ledger as stream_ledgers
+from tidewarden.streaming.transform import start_transform
 
 # --- building the tables -------------------------------------------------------------
 
@@ -49,11 +52,11 @@ def _warehouse(g: Given) -> Warehouse:
 
 
 def _summarised(g: Given) -> Warehouse:
-    """Facts that came in three deliveries of mixed times, each merged into the table and the summary."""
+    """Facts that came in two deliveries of mixed times, each merged into the table and the summary."""
     wh = _warehouse(g)
     facts = g.stored_fact
-    part = F.pmod(F.xxhash64("ingest_run_id", "station_id"), F.lit(3))
-    for k in range(3):
+    part = F.pmod(F.xxhash64("ingest_run_id", "station_id"), F.lit(2))
+    for k in range(2):
         wh.merge_facts(facts.where(part == k), newest_wins=True)
     return wh
 
@@ -402,3 +405,47 @@ def stream_silence(g: Given) -> DataFrame:
         parts.append(quiet.select(
             F.lit(name).alias("detector"), "station_id", metric_id.alias("metric_id_dedup"), "last_observed_at", "minutes"))
     return parts[0].unionByName(parts[1])
+
+
+# --- event time ----------------------------------------------------------------------------
+
+
+def _appended(g: Given, rows: DataFrame) -> DataFrame:
+    """All that a stream gives out, as a table."""
+    folder = shared_folder(g.spark, "stream")
+    running = rows.writeStream.format("parquet").option("path", f"{folder}/rows").option(
+        "checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return g.spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+@query("SELECT DISTINCT anomaly_type, station_id, metric_id_dedup, detected_hour FROM t_anomaly")
+def stream_first_arrivals(g: Given) -> DataFrame:
+    """Hourly anomaly keys, each stored when it first arrives; events arrive hours late and out of order."""
+    key = ["anomaly_type", "station_id", "metric_id_dedup", "detected_hour"]
+    offered = anomalies_from_events(ordered_event_stream(g, late=True))
+    return _appended(g, arrivals.first_arrivals(offered, key, "detected_at", "48 hours").select(*key))
+
+
+@query("""SELECT anomaly_type, station_id, metric_id_dedup, detected_hour, count(*) AS n_anomalies,
+                 min(detected_at) AS first_at, max(detected_at) AS last_at FROM t_anomaly
+          GROUP BY ALL HAVING detected_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 48 HOUR""")
+def stream_hourly_windows(g: Given) -> DataFrame:
+    """Hours that the watermark has closed, with the late rows that came before."""
+    return _appended(g, arrivals.hourly_anomalies(anomalies_from_events(ordered_event_stream(g, late=True)), "48 hours"))
+
+
+@query("""SELECT 'succeeded' AS status, min(date_trunc('hour', ts)) AS watermark_from, max(date_trunc('hour', ts)) AS watermark_to,
+                 count(*) AS rows_inserted
+          FROM (SELECT ts, (SELECT count(*) FROM range(1, 4) k WHERE epoch_us(ts) >=
+                       low + round_even((high - low) * k.range / 4.0, 0)) AS span
+                FROM events, (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events))
+          GROUP BY span""")
+def stream_ledger(g: Given) -> DataFrame:
+    """Range of times and number of rows of every micro-batch, as the stream's listener noted them."""
+    wh, now, folder = _warehouse(g), _now(g), shared_folder(g.spark, "stream")
+    raw = stream_ledgers.observed(raw_from_events(ordered_event_stream(g)))
+    listener = stream_ledgers.LedgerListener(wh, folder, TRANSFORM_JOB, lambda: now)
+    stream_ledgers.awaited_with_ledger(
+        lambda: start_transform(raw, wh, g.station_core, g.metric, f"{folder}/checkpoint", name=folder), listener)
+    return wh.read("ops_job_run").select("status", "watermark_from", "watermark_to", "rows_inserted")

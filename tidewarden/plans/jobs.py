@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import traceback
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -25,7 +26,7 @@ from tidewarden.sources.payloads import CORRUPT, SOURCE_FILE, read_payloads
 from tidewarden.sources.warehouse import DAYS, Warehouse, staged, staged_counted, touched_days
 
 RAW, FACT = "raw_observations", "fact_observation"
-CHECKS_AT_ONCE = 8
+JOBS_AT_ONCE = 8
 
 
 def run_identity(job: str, name: str) -> str:
@@ -302,12 +303,8 @@ def _computed_apart(
     wh: Warehouse, runs: DataFrame, definitions: Sequence[quality.CheckDefinition], tables: quality.Checked, as_of: Instant
 ) -> list[CheckOutcome]:
     """Every check's results, written by a job of its own; jobs are submitted side by side."""
-    context = wh.spark.sparkContext
-
-    @inheritable_thread_target(wh.spark)
     def computed(definition: quality.CheckDefinition) -> CheckOutcome:
         begun = datetime.now(timezone.utc)
-        context.setLocalProperty("spark.scheduler.pool", definition.name)
         try:
             results, seen = staged_counted(quality.check_results(runs, definition, tables, as_of), "check")
             error, n = None, seen["n"]
@@ -316,8 +313,7 @@ def _computed_apart(
         took = (datetime.now(timezone.utc) - begun).total_seconds()
         return CheckOutcome(results, n, int(took * 1000), error)
 
-    with ThreadPoolExecutor(max_workers=CHECKS_AT_ONCE) as pool:
-        return list(pool.map(computed, definitions))
+    return _side_by_side(wh, computed, definitions, lambda d: d.name)
 
 
 def detect_and_open_incidents(
@@ -329,39 +325,69 @@ def detect_and_open_incidents(
 ) -> str:
     """Detect, open or touch incidents, link, store new anomalies. Returns the run id.
 
-    The summary of the series is what all detectors but the flatline one read, and that one reads the days of its
-    window. The writes themselves count the rows.
-
-    Each detector is a run of its own with a start, a final row and its own duration. One
-    that fails is recorded and does not undo or stop the others; the run fails after
-    the last. With ``respect_switches`` types that the type table disables are left out.
+    The summary of the series is what all detectors but the flatline one read, and that one
+    reads the days of its window. Detectors run side by side, each a run of its own with a start,
+    a final row and its own duration; what they found is stored together. One that fails is recorded
+    and does not stop the others; the run fails after the last. With ``respect_switches`` types that the type table disables are left out.
     """
 
     def body(run_id: str) -> dict:
         observed = detectors.Observed(wh.stored(FACT), wh.read("dim_station"), wh.read("dim_metric"), wh.heads())
-        inserted, failures = 0, []
-        for detector in registry:
-            begun = datetime.now(timezone.utc)
-            _store_detector_run(wh, run_id, detector.name, begun)
+        begun = datetime.now(timezone.utc)
+        _store_detector_runs(wh, run_id, begun, {d.name: None for d in registry})
+
+        took: dict[str, float] = {}
+
+        def detected(detector: detectors.Detector) -> DataFrame | Exception:
+            own = time.perf_counter()
             try:
-                detected = detectors.detect_all(observed, config, as_of, [detector])
+                found = detectors.detect_all(observed, config, as_of, [detector])
                 if respect_switches:
-                    detected = detectors.enabled_only(detected, wh.read("ops_anomaly_type"))
-                found, seen = staged_counted(incidents.stamp_anomalies(detected, as_of), "detected")
+                    found = detectors.enabled_only(found, wh.read("ops_anomaly_type"))
+                return staged(incidents.stamp_anomalies(found, as_of), "detected")
+            except Exception as error:
+                return error
+            finally:
+                took[detector.name] = time.perf_counter() - own
+
+        outcomes = dict(zip([d.name for d in registry], _side_by_side(wh, detected, registry, lambda d: d.name)))
+        failed = {name: o for name, o in outcomes.items() if isinstance(o, Exception)}
+        frames = [o for o in outcomes.values() if not isinstance(o, Exception)]
+        counts, inserted = {}, 0
+        storing = time.perf_counter()
+        if frames:
+            try:
+                found = reduce(DataFrame.unionByName, frames)
                 stored = store_anomalies(wh, found, as_of)
+                linked = stored.links.join(stored.anomalies.select("anomaly_id", "detector"), "anomaly_id")
+                rows = detectors.detector_counts(found, stored.anomalies, linked).collect()  # a row per detector
+                counts = {r.detector: (r.rows_detected, r.rows_inserted, r.rows_linked) for r in rows}
+                inserted = stored.n_new
             except Exception as error:
-                failures.append(error)
-                _store_detector_run(wh, run_id, detector.name, begun, error=f"{type(error).__name__}: {error}")
-            else:
-                _store_detector_run(wh, run_id, detector.name, begun, (seen["n"], stored.n_new, stored.n_linked))
-                inserted += stored.n_new
-        if failures:
-            raise failures[0]
+                failed |= {name: error for name in outcomes if name not in failed}
+        ended = {name: failed.get(name) or counts.get(name, (0, 0, 0)) for name in outcomes}
+        shared = time.perf_counter() - storing
+        _store_detector_runs(wh, run_id, begun, ended, {name: took[name] + shared for name in ended})
+        if failed:
+            raise next(iter(failed.values()))
         return {"rows_inserted": inserted}
 
     return _with_ledger(wh, settings.DETECTION_JOB, as_of, body)
 
 
+def _side_by_side(wh: Warehouse, work: Callable, items: Sequence, pool_name: Callable) -> list:
+    """``work(item)`` for every item, several at a time, each submitting its jobs to a scheduler pool of its name."""
+    context = wh.spark.sparkContext
+
+    @inheritable_thread_target(wh.spark)
+    def run(item):
+        context.setLocalProperty("spark.scheduler.pool", pool_name(item))
+        return work(item)
+
+    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
+        return list(pool.map(run, items))
+
+
 class Stored(NamedTuple):
     """New anomalies and new links, and how many there are."""
 
@@ -396,15 +422,21 @@ def store_anomalies(wh: Warehouse, found: DataFrame, as_of: Instant) -> Stored:
     return Stored(fresh, links, seen["n"], linked["n"])
 
 
-def _store_detector_run(
-    wh: Warehouse, run_id: str, name: str, begun: datetime, counts: tuple[int, ...] | None = None, error: str | None = None
+def _store_detector_runs(
+    wh: Warehouse, run_id: str, begun: datetime, outcomes: dict[str, tuple[int, ...] | Exception | None],
+    seconds: dict[str, float] | None = None,
 ) -> None:
-    """Append a detector's start (neither counts nor an error) or its end. The last row per run and detector counts."""
+    """Append the detectors' starts (no outcome yet) or their ends. The last row per run and detector counts."""
     now = datetime.now(timezone.utc)
-    closed = counts is not None or error is not None
-    status = "started" if not closed else "failed" if error else "succeeded"
-    row = (
-        run_id, name, begun, now if closed else None, int((now - begun).total_seconds() * 1000) if closed else None,
-        *(counts or (0, 0, 0)), status, error and error[: settings.MESSAGE_LIMIT],
-    )
-    wh.append("ops_anomaly_detector_run", constant_frame(wh.spark, [row], SCHEMAS["ops_anomaly_detector_run"]))
+
+    def row(name: str, outcome) -> tuple:
+        took = int(1000 * seconds[name]) if seconds else None
+        if outcome is None:
+            return (run_id, name, begun, None, None, 0, 0, 0, "started", None)
+        if isinstance(outcome, Exception):
+            text = f"{type(outcome).__name__}: {outcome}"[: settings.MESSAGE_LIMIT]
+            return (run_id, name, begun, now, took, 0, 0, 0, "failed", text)
+        return (run_id, name, begun, now, took, *outcome, "succeeded", None)
+
+    rows = [row(name, outcome) for name, outcome in outcomes.items()]
+    wh.append("ops_anomaly_detector_run", constant_frame(wh.spark, rows, SCHEMAS["ops_anomaly_detector_run"]))

@@ -23,6 +23,7 @@ def start_transform(
     checkpoint: str,
     tie_order: Sequence[str] = TIES,
     and_then: Callable[[DataFrame, int], None] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Merge everything available now into the fact table and stop.
 
@@ -36,8 +37,9 @@ def start_transform(
         if and_then:
             and_then(facts, epoch)
 
+    writer = raw_stream.writeStream.queryName(name) if name else raw_stream.writeStream
     return (
-        raw_stream.writeStream.foreachBatch(merge)
+        writer.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
