@@ -54,7 +54,8 @@ CTES = {
                o_orderdate AS started_at, NULL AS parent_run_id, o_orderkey % 10 AS digit
         FROM orders
         UNION ALL
-        SELECT 't-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey, 'transform',
+        SELECT 't-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' ||
+                   CAST(round(l_extendedprice * 100) AS BIGINT), 'transform',
                CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'succeeded' END,
                l_shipdate, 'i-' || l_orderkey, l_orderkey % 10
         FROM lineitem""",
@@ -62,7 +63,7 @@ CTES = {
         SELECT 'i-' || l_orderkey AS run_id, 'check_' || (l_suppkey % 8) AS check_name,
                CASE l_returnflag WHEN 'A' THEN 'pass' WHEN 'N' THEN 'warn' ELSE 'fail' END AS status,
                CASE WHEN l_partkey % 400 <> 0 THEN l_shipdate END AS evaluated_at,
-               CAST(l_extendedprice AS DECIMAL(18,6)) AS metric_value, l_orderkey, l_partkey, l_suppkey
+               CAST(l_extendedprice AS DECIMAL(18,6)) AS metric_value, l_orderkey, l_partkey, l_suppkey, l_linenumber
         FROM lineitem""",
     "t_anomaly": """
         SELECT event_id AS anomaly_id,

@@ -189,8 +189,10 @@ class Given:
             (F.col("o_orderkey") % 10).alias("digit"),
         )
         transform = line.select(
-            F.concat_ws("-", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-            .alias("run_id"),
+            F.concat_ws(
+                "-", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+            ).alias("run_id"),
             F.lit(TRANSFORM_JOB).alias("job_name"),
             F.when(F.col("l_returnflag") == "R", "failed").otherwise("succeeded").alias("status"),
             F.col("l_shipdate").alias("started_at"),
@@ -218,7 +220,7 @@ class Given:
             .when(F.col("l_returnflag") == "N", "warn").otherwise("fail").alias("status"),
             F.when(F.col("l_partkey") % 400 != 0, F.col("l_shipdate")).alias("evaluated_at"),
             F.col("l_extendedprice").cast(DECIMAL).alias("metric_value"),
-            "l_orderkey", "l_partkey", "l_suppkey",
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         )
 
     @cached_property

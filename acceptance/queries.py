@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acceptance.ctes import floor_minutes, floor_seconds, minutes_2, percent, with_ctes
 from acceptance.given import (
-    CHECKS, DETECTION, DOCUMENT_METRICS, DOCUMENT_TIME, EPSILONS, JUMPS, Given, event_stream, plain, raw_from_events,
+    CHECKS, DETECTION, DOCUMENT_METRICS, DOCUMENT_TIME, EPSILONS, JUMPS, Given, event_stream, ordered_event_stream, plain, raw_from_events,
 )
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.operators import detectors, incidents, ledger, payload, quality, security, transform
@@ -184,9 +184,9 @@ def anomaly_dedup_insert(g: Given) -> DataFrame:
 
 @query("""SELECT run_id, check_name, status, l_partkey FROM t_dq
           QUALIFY row_number() OVER (PARTITION BY run_id, check_name
-                                     ORDER BY l_orderkey, l_partkey, l_suppkey) = 1""")
+                                     ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, status) = 1""")
 def dq_insert_ignore(g: Given) -> DataFrame:
-    order = [F.asc(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")]
+    order = [F.asc(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "status")]
     stored = quality.empty_results(g.spark)
     return quality.new_check_results(stored, g.check_results, order).select(
         "run_id", "check_name", "status", "l_partkey"
@@ -539,12 +539,35 @@ def dq_run_all(g: Given) -> DataFrame:
     return results.select("run_id", "check_name", "metric_value", "threshold", "status")
 
 
-@query("""SELECT CAST(CAST(ingested_at AS DATE) AS VARCHAR) AS day, source, field, drift, count(*) AS n_rows
-          FROM t_raw, (VALUES ('k', 'added'), ('key', 'missing')) AS d(field, drift) GROUP BY ALL""")
+@query("""SELECT CAST(CAST(ingested_at AS DATE) AS VARCHAR) AS day, source, field, drift, count(*) AS n_rows FROM (
+            SELECT ingested_at, source, field, CASE WHEN agreed IS NULL THEN 'added' WHEN agreed <> type THEN 'retyped' END AS drift
+            FROM seen LEFT JOIN agreed USING (field)
+            UNION ALL SELECT ingested_at, source, '<malformed>', 'added' FROM payloads
+                      WHERE payload IS NOT NULL AND NOT (json_valid(payload) AND left(payload, 1) = '{')
+            UNION ALL SELECT p.ingested_at, p.source, a.field, 'missing' FROM payloads p, agreed a
+                      WHERE payload IS NOT NULL AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.id = p.id AND s.field = a.field))
+          WHERE drift IS NOT NULL GROUP BY ALL""",
+       local="""payloads AS (
+            SELECT id, ingested_at, source,
+                   CASE WHEN id % 7 = 0 THEN replace(replace(source_payload, ': ', ': "'), '}', '"}') WHEN id % 11 = 0 THEN 'lost ' || id
+                        WHEN id % 13 = 0 THEN replace(source_payload, '}', ', "extra": true}') WHEN id % 17 = 0 THEN '[1]'
+                        WHEN id % 19 = 0 THEN NULL WHEN id % 23 = 0 THEN '{}' ELSE source_payload END AS payload FROM t_raw),
+       objects AS (SELECT *, CAST(payload AS JSON) AS j FROM payloads WHERE json_valid(payload) AND left(payload, 1) = '{'),
+       seen AS (SELECT id, ingested_at, source, field, CASE json_type(j, '$.' || field) WHEN 'VARCHAR' THEN 'STRING' WHEN 'BOOLEAN' THEN 'BOOLEAN'
+                       ELSE 'BIGINT' END AS type FROM (SELECT *, unnest(json_keys(j)) AS field FROM objects)),
+       agreed(field, agreed) AS (VALUES ('k', 'BIGINT'), ('unit', 'STRING'))""")
 def schema_drift(g: Given) -> DataFrame:
-    """The contract calls the payload's only field by another name."""
-    contract = constant_frame(g.spark, [("key", "BIGINT")], "field string, type string")
-    return quality.schema_drift(g.raw, contract).withColumn("day", F.col("day").cast("string"))
+    """Payloads with a field more, of another type, without any, broken, and none at all; one agreed field never comes."""
+    contract = constant_frame(g.spark, [("k", "BIGINT"), ("unit", "STRING")], "field string, type string")
+    key, text = F.col("id"), F.col("source_payload")
+    quoted = F.replace(F.replace(text, F.lit(": "), F.lit(': "')), F.lit("}"), F.lit('"}'))
+    payload = (
+        F.when(key % 7 == 0, quoted).when(key % 11 == 0, F.concat(F.lit("lost "), key))
+        .when(key % 13 == 0, F.replace(text, F.lit("}"), F.lit(', "extra": true}'))).when(key % 17 == 0, "[1]")
+        .when(key % 19 == 0, None).when(key % 23 == 0, "{}").otherwise(text)
+    )
+    drift = quality.schema_drift(g.raw.withColumn("source_payload", payload), contract)
+    return drift.withColumn("day", F.col("day").cast("string"))
 
 
 # --- views ---------------------------------------------------------------------
@@ -593,7 +616,7 @@ STATUS_NOW = """greatest((SELECT max(ts) FROM events), (SELECT max(created_at) F
                          (SELECT max(evaluated_at) FROM t_dq), (SELECT max(started_at) FROM t_runs))"""
 
 
-@query(f"""SELECT CASE WHEN open_incidents > 0 THEN 'RED'
+PLATFORM_SQL = f"""SELECT CASE WHEN open_incidents > 0 THEN 'RED'
                        WHEN worst_freshness_minutes > 120 OR bad_checks > 0 THEN 'AMBER' ELSE 'GREEN' END AS status, *
            FROM (SELECT greatest(0, {floor_minutes('now', '(SELECT max(observed_at) FROM t_fact)')})
                             AS worst_freshness_minutes,
@@ -602,7 +625,10 @@ STATUS_NOW = """greatest((SELECT max(ts) FROM events), (SELECT max(created_at) F
                         (SELECT CAST(count(*) AS INTEGER) FROM t_incident WHERE status <> 'resolved') AS open_incidents,
                         (SELECT max(started_at) FROM t_runs WHERE job = 'ingest' AND status = 'succeeded') AS last_ingest,
                         now AS evaluated_at
-                 FROM (SELECT {STATUS_NOW} AS now))""")
+                 FROM (SELECT {STATUS_NOW} AS now))"""
+
+
+@query(PLATFORM_SQL)
 def platform_status(g: Given) -> DataFrame:
     return views.platform_status(g.fact, g.incident, g.check_results, g.runs, _latest_of_all(g))
 
@@ -630,12 +656,12 @@ def job_health(g: Given) -> DataFrame:
 DQ_SUMMARY_SQL = """SELECT check_name, CASE WHEN status = 'pass' THEN 'succeeded' ELSE 'failed' END AS status,
                            evaluated_at AS last_run_at
                     FROM t_dq QUALIFY row_number() OVER (PARTITION BY check_name
-                        ORDER BY evaluated_at DESC NULLS FIRST, l_orderkey DESC, l_partkey DESC, l_suppkey DESC) = 1"""
+                        ORDER BY evaluated_at DESC NULLS FIRST, l_orderkey DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC, status DESC) = 1"""
 
 
 @query(DQ_SUMMARY_SQL)
 def dq_summary(g: Given) -> DataFrame:
-    return views.dq_summary(g.check_results, ("l_orderkey", "l_partkey", "l_suppkey"))
+    return views.dq_summary(g.check_results, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "status"))
 
 
 @query(f"""SELECT check_name, count(*) FILTER (status = 'pass') AS n_pass, count(*) AS n_results,
@@ -712,14 +738,13 @@ def status_conflicts(g: Given) -> DataFrame:
                      FROM t_types t LEFT JOIN t_anomaly a ON a.anomaly_type = t.anomaly_type
                           AND a.detected_at >= {STATUS_NOW} - INTERVAL 24 HOUR GROUP BY t.anomaly_type
            UNION ALL SELECT 'incidents', status, 'total', CAST(count(*) AS VARCHAR) FROM t_incident GROUP BY status
-           UNION ALL SELECT 'status', 'platform', 'RED',
-                     strftime((SELECT max(started_at) FROM t_runs WHERE job = 'ingest' AND status = 'succeeded'), '%H:%M')""")
+           UNION ALL SELECT 'status', 'platform', status, strftime(last_ingest, '%H:%M') FROM ({PLATFORM_SQL})""")
 def control_tower(g: Given) -> DataFrame:
     """The five reads of the page as one list of text values."""
     tables = {
         "fact_observation": g.fact, "dim_station": g.station_core, "ops_incident": g.incident,
         "ops_dq_check_run": g.check_results.withColumn(
-            "dq_run_id", F.struct("l_orderkey", "l_partkey", "l_suppkey")
+            "dq_run_id", F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "status")
         ),
         "ops_job_run": g.runs, "ops_anomaly": g.anomaly, "ops_anomaly_type": g.anomaly_types,
     }
@@ -780,11 +805,46 @@ def _secured_tables(g: Given) -> dict[str, DataFrame]:
     }
 
 
-@query("""SELECT unnest(['precond_stations', 'precond_facts', 'anon_no_facts', 'anon_reads_stations', 'analyst_no_raw',
-                         'analyst_station_scope', 'analyst_fact_scope', 'ops_reads_facts', 'ops_reads_raw',
-                         'grants_isolated']) AS check_name, 'PASS' AS result""")
+def _audit_sql(anonymous: str, analyst: str, ops: str) -> str:
+    """Every access rule decided from the grants and what each user may see."""
+    verdicts = {
+        "precond_stations": "(SELECT count(DISTINCT station_id) FROM t_station) >= 2",
+        "precond_facts": "EXISTS (SELECT 1 FROM t_fact)",
+        "anon_no_facts": f"NOT EXISTS (SELECT 1 FROM t_fact f JOIN scope v USING (station_id) WHERE v.user_id = '{anonymous}')",
+        "anon_reads_stations": f"EXISTS (SELECT 1 FROM t_station WHERE is_smoketest) OR EXISTS (SELECT 1 FROM scope WHERE user_id = '{anonymous}')",
+        "analyst_no_raw": f"NOT EXISTS (SELECT 1 FROM t_raw, t_grants WHERE user_id = '{analyst}' AND role = 'ops')",
+        "analyst_station_scope": f"""(SELECT count(*) FROM granted) > 0
+            AND (SELECT count(DISTINCT station_id) FROM scope WHERE user_id = '{analyst}') = (SELECT count(*) FROM granted)
+            AND NOT EXISTS (SELECT station_id FROM scope WHERE user_id = '{analyst}' EXCEPT SELECT station_id FROM granted)""",
+        "analyst_fact_scope": f"""EXISTS (SELECT 1 FROM t_fact f JOIN scope v USING (station_id) WHERE v.user_id = '{analyst}')
+            AND NOT EXISTS (SELECT station_id FROM t_fact JOIN scope USING (station_id) WHERE user_id = '{analyst}'
+                            EXCEPT SELECT station_id FROM granted)""",
+        "ops_reads_facts": f"EXISTS (SELECT 1 FROM t_fact f JOIN scope v USING (station_id) WHERE v.user_id = '{ops}')",
+        "ops_reads_raw": f"EXISTS (SELECT 1 FROM t_raw) AND EXISTS (SELECT 1 FROM t_grants WHERE user_id = '{ops}' AND role = 'ops')",
+        "grants_isolated": f"(SELECT count(*) FROM t_grants WHERE user_id = '{ops}') >= 1",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, CASE WHEN {rule} THEN 'PASS' ELSE 'FAIL' END AS result" for name, rule in verdicts.items())
+
+
+def _granted(analyst: str) -> str:
+    return f"scope AS ({SCOPE_SQL}), granted AS (SELECT DISTINCT station_id FROM t_grants WHERE user_id = '{analyst}')"
+
+
+def _audit(g: Given, anonymous: str, analyst: str, ops: str) -> DataFrame:
+    tables = _secured_tables(g) | {"fact_observation": g.stored_fact}
+    return security.access_audit(tables, anonymous, analyst, ops, F.col("is_smoketest"))
+
+
+@query(_audit_sql("anon", "bob", "opsy"), _granted("bob"))
 def rls_audit(g: Given) -> DataFrame:
-    return security.access_audit(_secured_tables(g) | {"fact_observation": g.stored_fact}, "anon", "bob", "opsy", F.col("is_smoketest"))
+    return _audit(g, "anon", "bob", "opsy")
+
+
+@query(_audit_sql("ana", "opsy", "bob"), _granted("opsy"))
+def rls_audit_failures(g: Given) -> DataFrame:
+    """The same rules asked of users that break most of them."""
+    return _audit(g, "ana", "opsy", "bob")
 
 
 @query("""SELECT u.user_id, t.table_name,
@@ -820,7 +880,7 @@ def secured_counts(g: Given) -> DataFrame:
 def _streamed(g: Given, detect: bool = False) -> tuple[Warehouse, HeadStore]:
     folder = shared_folder(g.spark, "stream")
     warehouse, store = Warehouse(g.spark, f"{folder}/tables"), HeadStore(g.spark, f"{folder}/heads")
-    raw = raw_from_events(event_stream(g.spark, g.sf_dir))
+    raw = raw_from_events(event_stream(g.spark, g.sf_dir) if detect else ordered_event_stream(g, late=True))
     if detect:
         newest = g.load("events").agg(F.max("ts")).first()[0]
         step = jumps_on_arrival(warehouse, store, g.station_core, g.metric, DETECTION, lambda: newest)
@@ -835,7 +895,7 @@ def _streamed(g: Given, detect: bool = False) -> tuple[Warehouse, HeadStore]:
 
 @query(f"SELECT {FACT_COLUMNS} FROM t_fact")
 def stream_transform(g: Given) -> DataFrame:
-    """The events as a stream, merged batch by batch; equals the batch transform."""
+    """The events in the order in which they were stored, hours late, merged batch by batch; equals the batch transform."""
     warehouse, _ = _streamed(g)
     return warehouse.read("fact_observation")
 

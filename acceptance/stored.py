@@ -6,6 +6,7 @@ Each builds its tables in a new shared folder from the given ones, runs the job
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,7 +15,7 @@ from acceptance.given import (
     CHECKS, DETECTION, DOCUMENT_METRICS, DOCUMENT_TIME, JUMPS, Given, anomalies_from_events, ordered_event_stream,
     raw_from_events,
 )
-from acceptance.queries import CHECK_VALUES, FACT_COLUMNS, FRESH_SQL, JUMP_SQL, NOW, STATUS_SQL, query
+from acceptance.queries import CHECK_VALUES, FACT_COLUMNS, FRESH_SQL, JUMP_SQL, NOW, STATUS_SQL, USERS, query
 from tidewarden.functions import access
 from tidewarden.functions.lookup import constant_frame
 from tidewarden.operators import detectors, ledger, quality
@@ -339,9 +340,13 @@ def access_functions(g: Given) -> DataFrame:
     """What each user may see, by the session's SQL functions."""
     access.register_access_functions(g.spark, g.grants)
     g.station.createOrReplaceTempView("access_stations")
-    return g.spark.sql(" UNION ALL ".join(
-        f"""SELECT '{user}' AS user_id, station_id, is_role('{user}', 'ops') AS is_ops FROM access_stations
-            WHERE can_access_station('{user}', station_id, region)""" for user in ("ana", "bob", "anon", "opsy")))
+
+    def seen(user: str) -> DataFrame:
+        access.as_user(g.spark, user)
+        return g.spark.sql(f"""SELECT {access.USER} AS user_id, station_id, is_role('ops') AS is_ops
+                               FROM access_stations WHERE can_access_station(station_id, region)""")
+
+    return reduce(DataFrame.unionByName, [seen(user) for user in USERS])
 
 
 # --- streams with state ------------------------------------------------------------------

@@ -1,24 +1,32 @@
-"""Access rules as functions of the session, for use in SQL."""
+"""Access rules as functions of the session, for use in SQL by its current user."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-GRANTS = "access_grants"
+GRANTS, USER = "access_grants", "access_user"
 
 
 def register_access_functions(spark: SparkSession, grants: DataFrame) -> None:
-    """``is_role(who, role)`` and ``can_access_station(who, station, area)`` over ``grants``.
+    """``is_role(wanted)`` and ``can_access_station(station, area)`` over ``grants`` for the session's user.
 
-    Both are SQL functions: Spark puts their bodies into the query. The role is an uncorrelated
-    lookup; the two ways a station is granted are joins by equality, so none pairs stations with grants.
+    Both are SQL functions, whose bodies Spark puts into the query. The user's roles are one
+    uncorrelated lookup, evaluated once; the two ways in which a station is granted become joins by
+    equality. Nothing pairs stations with grants. The user is the session variable that
+    :func:`as_user` sets; without one nothing is visible.
     """
     grants.createOrReplaceTempView(GRANTS)
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {USER} STRING")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION is_role(who STRING, wanted STRING) RETURNS BOOLEAN
-        RETURN EXISTS (SELECT 1 FROM {GRANTS} WHERE user_id = is_role.who AND role = is_role.wanted)""")
+        CREATE OR REPLACE TEMPORARY FUNCTION is_role(wanted STRING) RETURNS BOOLEAN
+        RETURN array_contains((SELECT collect_set(role) FROM {GRANTS} WHERE user_id = {USER}), wanted)""")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION can_access_station(who STRING, station BIGINT, area STRING) RETURNS BOOLEAN
-        RETURN is_role(can_access_station.who, 'ops')
-            OR EXISTS (SELECT 1 FROM {GRANTS} WHERE user_id = can_access_station.who AND station_id = can_access_station.station)
-            OR EXISTS (SELECT 1 FROM {GRANTS} WHERE user_id = can_access_station.who AND region = can_access_station.area)""")
+        CREATE OR REPLACE TEMPORARY FUNCTION can_access_station(station BIGINT, area STRING) RETURNS BOOLEAN
+        RETURN is_role('ops')
+            OR station IN (SELECT station_id FROM {GRANTS} WHERE user_id = {USER})
+            OR area IN (SELECT region FROM {GRANTS} WHERE user_id = {USER})""")
+
+
+def as_user(spark: SparkSession, user: str | None) -> None:
+    """Queries built from now on are those of ``user``; the name is bound, not put into the text."""
+    spark.sql(f"SET VAR {USER} = :who", args={"who": user})

@@ -75,7 +75,7 @@ def station_health(freshness: DataFrame) -> DataFrame:
         F.col("station_name").alias("name"),
         label.alias("freshness"),
         utc_text(F.col("last_seen"), "HH:mm").alias("last_seen"),
-    )
+    ).orderBy("station_id")
 
 
 def platform_status(
@@ -134,7 +134,7 @@ def pipeline_health(runs: DataFrame, tiebreak: str = "run_id") -> DataFrame:
 def dq_summary(check_results: DataFrame, tiebreak: tuple[str, ...] = ("dq_run_id",)) -> DataFrame:
     """Last result of every check; a missing time is the latest. All but pass is failed."""
     last = first_per_key(
-        check_results.select("check_name", "status", "evaluated_at", *tiebreak),
+        check_results.select(*dict.fromkeys(("check_name", "status", "evaluated_at", *tiebreak))),
         ["check_name"],
         [F.desc_nulls_first("evaluated_at"), *[F.desc(c) for c in tiebreak]],
     )
