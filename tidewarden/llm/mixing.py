@@ -104,37 +104,57 @@ def min_cost_flow(supply: dict, quota: dict, copies: int = MAX_COPIES) -> dict:
     return dict(flow)
 
 
-def _draw(key: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit(SEED), F.col(key).cast("string")), F.lit(1 << 40))
+def _draw(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(SEED), *[F.col(c).cast("string") for c in columns]), F.lit(1 << 40))
 
 
-def copies_taken(documents: DataFrame, demand: DataFrame, key: str) -> DataFrame:
-    """Add ``copies`` to (key, pattern, size): whole copies for all, one more for the seeded first of each pattern.
+def _fitting(open_: DataFrame, room: DataFrame) -> DataFrame:
+    """The rows (row, pattern, size) of the longest seeded start of each pattern's open rows that fits its room.
 
-    ``demand``: (pattern, words, wanted). Documents are ordered by a seeded hash. A histogram of the hash says in
-    which of :data:`BINS` bins the extra copies end; only that bin's documents are put in order. The last one is
-    taken if that brings the sum nearer. Rows alike in key are drawn alike but ordered by their size.
+    ``open_``: (row, pattern, size, draw); ``room``: (pattern, more). A histogram of the draws says in which of
+    :data:`BINS` bins the room ends; only that bin's rows are put in order.
     """
-    spread = documents.withColumn("draw", _draw(key)).withColumn("bin", (F.col("draw") / (2**40 // BINS)).cast("int"))
-    full = demand.where("words > 0").select(
-        "pattern", F.floor(F.col("wanted") / F.col("words")).alias("whole"),
-        F.pmod(F.col("wanted"), F.col("words")).alias("more"))
+    binned = open_.withColumn("bin", (F.col("draw") / (2**40 // BINS)).cast("int"))
     over = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
-        spread.groupBy("pattern", "bin").agg(F.sum("size").alias("held"))
+        binned.groupBy("pattern", "bin").agg(F.sum("size").alias("held"))
         .withColumn("before", F.coalesce(F.sum("held").over(over), F.lit(0)))
-        .join(full, "pattern")
+        .join(room, "pattern").where("before < more")
     )
     bins = kept(bins, "mix-bins")
-    edge = (F.col("before") < F.col("more")) & (F.col("before") + F.col("held") > F.col("more"))
-    whole = spread.join(bins, ["pattern", "bin"], "left").where(~F.coalesce(edge, F.lit(False)))
-    inside = Window.partitionBy("pattern", "bin").orderBy("draw", "size", key).rowsBetween(Window.unboundedPreceding, -1)
-    cut = spread.join(bins.where(edge), ["pattern", "bin"]).withColumn(
-        "upto", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    out = whole.withColumn("extra", (F.col("before") < F.col("more")).cast("long")).drop("held").unionByName(
-        cut.withColumn("extra", (2 * (F.col("more") - F.col("upto")) >= F.col("size")).cast("long")).drop("upto", "held"))
-    return out.withColumn("copies", F.coalesce(F.col("whole") + F.col("extra"), F.lit(0)).cast("long")).select(
-        *documents.columns, "copies")
+    whole = binned.join(bins.where("before + held <= more").select("pattern", "bin"), ["pattern", "bin"], "left_semi")
+    inside = Window.partitionBy("pattern", "bin").orderBy("draw", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    cut = binned.join(bins.where("before + held > more"), ["pattern", "bin"]).withColumn("upto", F.col("before") + F.sum("size").over(inside))
+    columns = ["row", "pattern", "size"]
+    return whole.select(*columns).unionByName(cut.where("upto <= more").select(*columns))
+
+
+def copies_taken(documents: DataFrame, demand: DataFrame) -> DataFrame:
+    """Add ``copies`` to (row, pattern, size, draw, ...): whole copies for all, one more for seeded documents.
+
+    ``demand``: (pattern, words, wanted). The documents of a pattern are taken in their seeded order as far as they fit
+    what is wanted beyond whole copies. Where the next one is too long it is passed over, and the order goes on with those
+    that fit what is left, until none does: what is missing then is less than the shortest document left.
+    """
+    more = F.pmod(F.col("wanted"), F.col("words"))
+    room = kept(demand.where("words > 0").select("pattern", more.alias("more")).where("more > 0"), "mix-room")
+    narrow = documents.where("size > 0").select("row", "pattern", "size", "draw")
+    taken = None
+    while not room.isEmpty():
+        fits = narrow.join(room, "pattern").where("size <= more").drop("more")
+        if taken is not None:
+            fits = fits.join(taken, "row", "left_anti")
+        chosen = kept(_fitting(fits, room), "mix-taken")
+        got = chosen.groupBy("pattern").agg(F.sum("size").alias("got"))
+        # A pattern that took nothing has no document left that fits.
+        room = kept(room.join(got, "pattern").select("pattern", (F.col("more") - F.col("got")).alias("more")).where("more > 0"), "mix-room")
+        taken = chosen.select("row") if taken is None else taken.unionByName(chosen.select("row"))
+    whole = demand.where("words > 0").select("pattern", F.floor(F.col("wanted") / F.col("words")).alias("whole"))
+    out = documents.join(whole, "pattern", "left").withColumn("copies", F.coalesce("whole", F.lit(0)))
+    if taken is not None:
+        extra = taken.withColumn("extra", F.lit(1))
+        out = out.join(extra, "row", "left").withColumn("copies", F.col("copies") + F.coalesce("extra", F.lit(0)))
+    return out.withColumn("copies", F.col("copies").cast("long")).select(*documents.columns, "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -142,16 +162,20 @@ def word_count(text: Column) -> Column:
 
 
 def mixed_copies(documents: DataFrame, members: Column, weights=WEIGHTS, copies: int = MAX_COPIES,
-                 key: str = "doc_id") -> tuple[DataFrame, dict[str | None, int], dict[str | None, float]]:
-    """(documents with size and copies, size per source, target per source).
+                 with_text: bool = False) -> tuple[DataFrame, dict[str | None, int], dict[str | None, float]]:
+    """(rows of ``document``, its columns as a struct, ``size`` and ``copies``; size per source; target per source).
 
     ``members``: array of the sources a document belongs to; a null source is one of its own. A document of several
     sources counts in each source's size and is routed to the quotas that need it. Weights repeat over the sources
     in code point order, null last. Null texts have no words and are taken once for every whole copy.
+    Every row is a document of its own, also with a null or repeated id. ``document`` has all columns, but the text
+    only ``with_text``. Empty input gives no rows.
     """
     pattern = F.to_json(F.array_sort(F.array_distinct(members)))
-    rows = kept(documents.withColumn("size", word_count(F.col("text"))).withColumn("pattern", pattern)
-                .withColumn("members", members).drop("text"), "mix-sizes")
+    own = documents.columns if with_text else [c for c in documents.columns if c != "text"]
+    rows = kept(documents.select(
+        F.struct(*own).alias("document"), word_count(F.col("text")).alias("size"), pattern.alias("pattern"),
+        members.alias("members"), _draw("doc_id", "text").alias("draw"), F.monotonically_increasing_id().alias("row")), "mix-sizes")
     sums = rows.groupBy("pattern").agg(F.sum("size").alias("words"), F.first("members").alias("members"))
     held = sums.limit(MAX_PATTERNS + 1).collect()
     if len(held) > MAX_PATTERNS:
@@ -171,7 +195,7 @@ def mixed_copies(documents: DataFrame, members: Column, weights=WEIGHTS, copies:
         wanted[p] += words
     demand = kept(documents.sparkSession.createDataFrame(
         [(named[p], supply[p], wanted[p]) for p in supply], "pattern string, words long, wanted long"), "mix-demand")
-    return copies_taken(rows, demand, key), sizes, goal
+    return copies_taken(rows, demand).select("document", "size", "copies"), sizes, goal
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,5 +204,6 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, sizes, goal = mixed_copies(documents, F.array("source"))
     facts = kept(spark.createDataFrame(
         [(s, sizes[s], float(goal[s])) for s in sizes], "named string, source_size long, target double"), "mix-sources")
-    return rows.join(facts, F.col("source").eqNullSafe(F.col("named")), "left").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
+    return rows.join(facts, F.col("document.source").eqNullSafe(F.col("named")), "left").select(
+        F.col("document.doc_id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"), F.col("document.source").alias("source"))
