@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden.session import shared_folder
@@ -35,6 +35,21 @@ def dropped(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Nodes of documents without an id: above all ids, by a hash of the text.
+NO_ID = 1 << 62
+
+
+def node(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A document's node: its id, or for a null id one that its text decides; copies without an id are one node."""
+    hashed = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 2)
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID) + hashed)
+
+
+def known_id(column: str) -> Column:
+    """The id of a node; null for a document without one."""
+    return F.when(F.col(column) < NO_ID, F.col(column))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit integers (two multiply-xorshift rounds)."""
     h = h.astype(np.uint64, copy=True)

@@ -12,10 +12,12 @@ Pairs are verified exactly.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewarden.llm.common import BASE, INVERSE, byte_table, joined_bytes, kept, mixed, powers, ranges, table, text_batches
+from tidewarden.llm.common import (
+    BASE, INVERSE, byte_table, joined_bytes, kept, known_id, mixed, node, powers, ranges, table, text_batches,
+)
 from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, linked_groups, pack_postings, profile, shared_postings
 
 WORDS = 5
@@ -182,15 +184,17 @@ def _measured(batches):
 
 
 def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies) of every document.
+    """(doc_id, n_shingles, component_id, n_copies, node, first_node) of every document.
 
     Documents link when 100 * intersection >= 80 * union of their shingle sets. Copies of a text are known by their
-    digest and not compared. Null and wordless texts have no shingles and link with nothing. Ids must be distinct and
-    not null: the smallest id stands for a component. Empty input gives no rows; other columns are not read.
+    digest and not compared. Null and wordless texts have no shingles and link with nothing. The smallest id
+    stands for a component; a null id is never it, so a component of documents without an id has a null one. Rows that
+    repeat an id and its text all get the result; different texts need different ids, below 2**62. ``first_node``
+    is the node (see :func:`node`) that stands for the component. Empty input gives no rows; other columns are not read.
     """
     if percent != PERCENT:
         raise ValueError("bands and segments are laid out for a similarity of 0.8")
-    plain = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     measured = kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>"), "measured")
     total = measured.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     several = measured.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).where("n_copies > 1")
@@ -207,10 +211,25 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile"),
         lambda ids: rows_of(ids, plain).mapInArrow(_sets, "id long, items array<long>"),
         percent, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
-    return facts.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    placed = facts.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "first_node", F.coalesce("component", "doc_id"))
+    return placed.select(
+        known_id("doc_id").alias("doc_id"), "n_shingles", known_id("first_node").alias("component_id"),
+        F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.col("doc_id").alias("node"), "first_node")
+
+
+def one_of_each_group(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of every group of similar documents one, that with the smallest id; all columns are kept.
+
+    Of rows that repeat an id one stays. A document without an id stays if its group has none with one.
+    """
+    firsts = jaccard_groups(documents, percent).where("node = first_node").select("node").distinct()
+    own = documents.select(node().alias("node"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("document"))
+    met = own.join(firsts, "node", "left_semi")
+    once = met.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("nth = 1")
+    return once.select("document.*")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles and component of every document."""
-    return jaccard_groups(table(spark, sf_dir, "documents"))
+    return jaccard_groups(table(spark, sf_dir, "documents")).drop("node", "first_node")

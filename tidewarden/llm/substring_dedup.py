@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewarden.llm.common import Rolling, byte_table, joined_bytes, kept, mixed, ranges, table, text_batches
+from tidewarden.llm.common import Rolling, byte_table, joined_bytes, kept, known_id, mixed, node, ranges, table, text_batches
 from tidewarden.llm.suffixes import repeated_starts
 
 LENGTH = 400
@@ -194,8 +194,8 @@ CUT_SCHEMA = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha
 
 
 def repeated_runs(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, lo, hi): starts lo to hi of ``length``-byte strings that start elsewhere too. Ids must be distinct."""
-    plain = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """(doc_id, lo, hi): starts lo to hi of ``length``-byte strings that start elsewhere too; ids are nodes of the documents."""
+    plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     anchors = kept(plain.mapInArrow(_anchors(length), "key long, snippet long, doc_id long, lo long, hi long, many boolean"), "anchors")
     # An anchor at one place leaves nothing to compare.
     seen = kept(anchors.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("many")).where("n > 1 or many").select("key"), "anchor-keys")
@@ -227,12 +227,15 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A byte goes if it lies in a ``length``-byte string of the UTF-8 text that starts anywhere else in the corpus, in
     the same text too; all strings are judged on the input. Null texts are empty; shorter ones stay whole. Spans are
-    begin and end of the removed runs, in pairs. Cuts may split a character: the rest is bytes.
+    begin and end of the removed runs, in pairs. Cuts may split a character: the rest is bytes. Rows
+    that repeat an id and its text are copies of each other, also without an id; different texts need different
+    ids, below 2**62. Empty input gives no rows; other columns are not read.
     """
-    plain = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     runs = kept(repeated_runs(documents, length), "repeated-runs").groupBy(F.col("doc_id").alias("d")).agg(
         F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    return plain.join(runs, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "runs").mapInArrow(_cut(length), CUT_SCHEMA)
+    cut = plain.join(runs, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "runs").mapInArrow(_cut(length), CUT_SCHEMA)
+    return cut.withColumn("doc_id", known_id("doc_id"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
