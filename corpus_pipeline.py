@@ -20,16 +20,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of every group of similar ones."""
-    groups = ngram_join.jaccard_groups(docs).where("component_id = doc_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    """One document, the smallest id, of every group of similar ones; one of rows that repeat an id."""
+    return ngram_join.one_of_each_group(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; those it does not take go."""
-    copies = mixing.mixed_copies(docs.select("doc_id", "text", "source"), F.array("source"))[0].select("doc_id", "copies")
-    return docs.join(copies.where("copies > 0"), "doc_id").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """Every row as often as the mix takes it; those it does not take go. Null and repeated ids are rows like others."""
+    taken = mixing.mixed_copies(docs, F.array("source"), with_text=True)[0].where("copies > 0")
+    return taken.select("document", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("document.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
