@@ -19,7 +19,8 @@ SAMPLE_ROWS = 8000
 GRADES = 3
 EPOCHS = 300
 RATE = 0.05
-DECAY = 1e-4
+# The weights are drawn to zero as strongly as by so many documents: few ratings are trusted less.
+PRIOR = 1.0
 LEAST_DOCS = 4
 MIN_TOP = 0.55
 # Weight of a word in a text of n words: n to minus this power.
@@ -84,6 +85,7 @@ def fit(texts, grades: np.ndarray, n_grades: int = GRADES, buckets: int = BUCKET
     rows, cols, values = rows[often], cols[often], values[often]
     used, local = np.unique(cols, return_inverse=True)
     n, k = len(grades), n_grades - 1
+    decay = PRIOR / max(n, 1)
     w, tail = np.zeros(len(used) + dense.shape[1]), np.r_[-1.0, np.zeros(k - 1)]
     above = (grades[:, None] > np.arange(k)[None, :]).astype(float)
     # Rare grades weigh more, by the root of their rarity.
@@ -95,7 +97,7 @@ def fit(texts, grades: np.ndarray, n_grades: int = GRADES, buckets: int = BUCKET
         p = 1 / (1 + np.exp(-np.clip(score[:, None] - t[None, :], -30, 30)))
         g = weight * (p - above) / n
         gs = g.sum(axis=1)
-        gw = np.r_[np.bincount(local, weights=values * gs[rows], minlength=len(used)), dense.T @ gs] + DECAY * w
+        gw = np.r_[np.bincount(local, weights=values * gs[rows], minlength=len(used)), dense.T @ gs] + decay * w
         gt = -g.sum(axis=0)
         gtail = np.r_[gt.sum(), [gt[j:].sum() * np.exp(tail[j]) for j in range(1, k)]]
         grad = np.r_[gw, gtail]
