@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -72,9 +72,27 @@ def test_neighbours_follow_their_seed():
     texts = [" ".join(rng.choice(topics[i % 4]) for _ in range(20)) for i in range(40)]
     ids, offsets = packing.encode(texts, public_tokenizers.path(packing.TOKENIZER))
     index = packing.Index(ids, offsets)
-    assert all(d % 4 == 3 % 4 for d in index.neighbours(3)[:9])
+    for seed in range(40):
+        score = bm25(ids, offsets, seed)
+        found = index.neighbours(seed).tolist()
+        assert set(found) == {d for d, s in score.items() if s > 0}
+        assert all(score[a] >= score[b] - 1e-9 for a, b in zip(found, found[1:]))
     order = list(packing.retrieval_order(index, np.diff(offsets), 10**9))
-    assert sorted(order) == list(range(40)) and {d % 4 for d in order[:10]} == {0}
+    assert sorted(order) == list(range(40)) and order[1:] == index.neighbours(0).tolist()
+
+
+def bm25(ids, offsets, seed):
+    """Score of every other document for the terms of the seed that some other document has."""
+    docs = [Counter(ids[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
+    df = Counter(t for d in docs for t in d)
+    mean = sum(sum(d.values()) for d in docs) / len(docs)
+    out = {}
+    for i, d in enumerate(docs):
+        if i != seed:
+            norm = packing.K1 * (1 - packing.B + packing.B * sum(d.values()) / mean)
+            out[i] = sum(np.log1p((len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * d[t] * (packing.K1 + 1) / (d[t] + norm)
+                         for t in docs[seed] if df[t] >= 2 and d[t])
+    return out
 
 
 def test_shards_are_even_and_gapless(spark):

@@ -173,3 +173,30 @@ def test_long_texts_are_cut_into_pieces(monkeypatch):
     pieces = substring_dedup._pieces(offsets, 400)
     covered = [s + k for _, _, s, e in pieces for k in range(e - s - 399)]
     assert covered == list(range(300, 3000 - 399))
+
+
+def test_an_audit_is_not_passed_on_self_matches(monkeypatch):
+    """A search that finds only the query itself must widen its beam, however rare links are."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(600, 32))
+    vectors[590:] = vectors[:10] + 0.01 * rng.normal(size=(10, 32))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    graph = hnsw.Graph.build(vectors)
+    near, beams = hnsw.Graph.near, []
+
+    def blind(self, q, least, beam):
+        beams.append(beam)
+        rows, nodes = near(self, q, least, beam)
+        if beam < 128:
+            lost = (vectors[nodes] != q[rows]).any(axis=1)
+            rows, nodes = rows[~lost], nodes[~lost]
+        return rows, nodes
+
+    monkeypatch.setattr(hnsw.Graph, "near", blind)
+    own = np.arange(600)
+    rows, nodes, beam = graph.audited(vectors, own, 0.93, 32, 64, 0.98)
+    found = {(a, b) for a, b in zip(rows.tolist(), nodes.tolist()) if a != b}
+    assert beam >= 128 and {(k, 590 + k) for k in range(10)} | {(590 + k, k) for k in range(10)} == found
+    # Queries that are not in the shard, and a shard without any link.
+    rows, nodes, beam = graph.audited(-vectors[:5], np.full(5, -1), 0.93, 32, 64, 0.98)
+    assert len(rows) == 0 and beam == 32

@@ -68,7 +68,9 @@ def _links(least: float, recall: float):
                 dim = get("dim")
                 q_ids, q = np.frombuffer(get("q_ids"), "<i8"), np.frombuffer(get("q_vectors"), "<f8").reshape(-1, dim)
                 ids, vectors = np.frombuffer(get("ids"), "<i8"), np.frombuffer(get("vectors"), "<f8").reshape(-1, dim)
-                rows, nodes, _ = Graph.load(get("graph")).audited(_unit(q), least - 1e-5, BEAM, AUDIT, recall)
+                at = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)  # a shard is sorted by id
+                own = np.where(ids[at] == q_ids, at, -1)
+                rows, nodes, _ = Graph.load(get("graph")).audited(_unit(q), own, least - 1e-5, BEAM, AUDIT, recall)
                 apart = q_ids[rows] != ids[nodes]
                 rows, nodes = rows[apart], nodes[apart]
                 for a in range(0, len(rows), 100_000):
@@ -86,7 +88,7 @@ def similar_vectors(vectors: DataFrame, least: float = LEAST, recall: float = RE
     ``least`` or more. Null, empty and zero vectors, and those with null or non-finite components, link with nothing.
     Equal vectors of a label are one node and count each as linked with the others. Ids must be distinct and not null.
     Every vector of a label is searched in the graph of every shard of it; links found are verified, none is assumed,
-    and beams widen until an audited part of the queries of each chunk loses at most 2 % of its links.
+    and beams widen until the audited queries of each chunk lose at most 2 % of their links to others.
     """
     v = F.col("embedding")
     good = (F.col("label").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -14,6 +14,8 @@ DEGREE = 16
 BUILD_BEAM = 48
 STEP = 4
 BATCH = 512
+# Links to others that an audit wants to see before it judges a beam.
+LINKS_SEEN = 256
 
 
 def _levels(n: int) -> np.ndarray:
@@ -200,17 +202,37 @@ class Graph:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(rows).astype(np.int64), np.concatenate(nodes).astype(np.int64)
 
-    def audited(self, q: np.ndarray, least: float, beam: int, audit: int, recall: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """Links as in :meth:`near`, with the beam doubled until ``audit`` queries, compared with all nodes, lose few."""
-        checked = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-        truth = set(zip(*(x.tolist() for x in self.exact(q[checked], least))))
+    def audited(self, q: np.ndarray, own: np.ndarray, least: float, beam: int, audit: int, recall: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """Links as in :meth:`near`, with the beam doubled until audited queries lose few of their links.
+
+        ``own`` is each query's own node here, or -1; it counts as no link. At first ``audit`` queries are compared with all
+        nodes, then more until they have :data:`LINKS_SEEN` links among them or all queries are audited, so a beam
+        never passes without links to find as long as there are any. Links that an audit saw are given out too.
+        """
+        n = len(self.vectors)
+        order = np.random.default_rng(len(q)).permutation(len(q))
+        truth, done = [], 0
+        while done < len(q) and sum(map(len, truth)) < LINKS_SEEN:
+            more = order[done: max(audit, 4 * done)]
+            for a in range(0, len(more), BATCH):
+                part = more[a: a + BATCH]
+                r, c = self.exact(q[part], least)
+                other = own[part[r]] != c
+                truth.append(part[r[other]] * n + c[other])
+            done += len(more)
+        known = np.concatenate(truth) if truth else np.zeros(0, np.int64)
+        checked = order[:done]
         while True:
             rows, nodes = self.near(q[checked], least, beam)
-            found = set(zip(rows.tolist(), nodes.tolist()))
-            if beam >= len(self.vectors) or len(truth & found) >= recall * len(truth):
-                rows, nodes = self.near(q, least, beam)
-                return rows, nodes, beam
+            found = checked[rows] * n + nodes
+            if beam >= n or np.isin(known, found).sum() >= recall * len(known):
+                break
             beam *= 2
+        if done < len(q):
+            rows, nodes = self.near(q, least, beam)
+            found = rows * n + nodes
+        found = np.union1d(found, known)
+        return found // n, found % n, beam
 
     def dump(self) -> bytes:
         out = io.BytesIO()
