@@ -12,6 +12,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewarden.functions.lookup import constant_frame
 from tidewarden.llm.common import WORD, kept, table
 
 MAX_COPIES = 3
@@ -108,48 +109,47 @@ def _draw(*columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), *[F.col(c).cast("string") for c in columns]), F.lit(1 << 40))
 
 
-def _fitting(open_: DataFrame, room: DataFrame) -> DataFrame:
-    """The rows (row, pattern, size) of the longest seeded start of each pattern's open rows that fits its room.
+def _fitting(open_: DataFrame) -> DataFrame:
+    """The rows (row, pattern, size) of the longest seeded start of each pattern that fits its room.
 
-    ``open_``: (row, pattern, size, draw); ``room``: (pattern, more). A histogram of the draws says in which of
-    :data:`BINS` bins the room ends; only that bin's rows are put in order.
+    ``open_``: (row, pattern, size, draw, more). A histogram of the draws says in which of :data:`BINS` bins the room
+    ends; only that bin's rows are put in order.
     """
     binned = open_.withColumn("bin", (F.col("draw") / (2**40 // BINS)).cast("int"))
     over = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
-        binned.groupBy("pattern", "bin").agg(F.sum("size").alias("held"))
-        .withColumn("before", F.coalesce(F.sum("held").over(over), F.lit(0)))
-        .join(room, "pattern").where("before < more")
+        binned.groupBy("pattern", "bin").agg(F.sum("size").alias("held"), F.max("more").alias("room"))
+        .withColumn("before", F.coalesce(F.sum("held").over(over), F.lit(0))).where("before < room")
     )
-    bins = kept(bins, "mix-bins")
-    whole = binned.join(bins.where("before + held <= more").select("pattern", "bin"), ["pattern", "bin"], "left_semi")
+    whole = binned.join(bins.where("before + held <= room").select("pattern", "bin"), ["pattern", "bin"], "left_semi")
     inside = Window.partitionBy("pattern", "bin").orderBy("draw", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
-    cut = binned.join(bins.where("before + held > more"), ["pattern", "bin"]).withColumn("upto", F.col("before") + F.sum("size").over(inside))
+    cut = binned.join(bins.where("before + held > room").select("pattern", "bin", "before"), ["pattern", "bin"]).withColumn(
+        "upto", F.col("before") + F.sum("size").over(inside))
     columns = ["row", "pattern", "size"]
     return whole.select(*columns).unionByName(cut.where("upto <= more").select(*columns))
 
 
-def copies_taken(documents: DataFrame, demand: DataFrame) -> DataFrame:
+def copies_taken(documents: DataFrame, demand: dict[str, tuple[int, int]]) -> DataFrame:
     """Add ``copies`` to (row, pattern, size, draw, ...): whole copies for all, one more for seeded documents.
 
-    ``demand``: (pattern, words, wanted). The documents of a pattern are taken in their seeded order as far as they fit
+    ``demand``: pattern -> (words, wanted). The documents of a pattern are taken in their seeded order as far as they fit
     what is wanted beyond whole copies. Where the next one is too long it is passed over, and the order goes on with those
     that fit what is left, until none does: what is missing then is less than the shortest document left.
     """
-    more = F.pmod(F.col("wanted"), F.col("words"))
-    room = kept(demand.where("words > 0").select("pattern", more.alias("more")).where("more > 0"), "mix-room")
+    spark = documents.sparkSession
     narrow = documents.where("size > 0").select("row", "pattern", "size", "draw")
+    room = {p: wanted % words for p, (words, wanted) in demand.items() if words and wanted % words}
     taken = None
-    while not room.isEmpty():
-        fits = narrow.join(room, "pattern").where("size <= more").drop("more")
+    while room:
+        fits = narrow.join(constant_frame(spark, list(room.items()), "pattern string, more bigint"), "pattern").where("size <= more")
         if taken is not None:
             fits = fits.join(taken, "row", "left_anti")
-        chosen = kept(_fitting(fits, room), "mix-taken")
-        got = chosen.groupBy("pattern").agg(F.sum("size").alias("got"))
+        chosen = kept(_fitting(fits), "mix-taken")
+        got = {r["pattern"]: r["got"] for r in chosen.groupBy("pattern").agg(F.sum("size").alias("got")).collect()}
         # A pattern that took nothing has no document left that fits.
-        room = kept(room.join(got, "pattern").select("pattern", (F.col("more") - F.col("got")).alias("more")).where("more > 0"), "mix-room")
+        room = {p: more - got[p] for p, more in room.items() if p in got and more > got[p]}
         taken = chosen.select("row") if taken is None else taken.unionByName(chosen.select("row"))
-    whole = demand.where("words > 0").select("pattern", F.floor(F.col("wanted") / F.col("words")).alias("whole"))
+    whole = constant_frame(spark, [(p, wanted // words) for p, (words, wanted) in demand.items() if words], "pattern string, whole bigint")
     out = documents.join(whole, "pattern", "left").withColumn("copies", F.coalesce("whole", F.lit(0)))
     if taken is not None:
         extra = taken.withColumn("extra", F.lit(1))
@@ -193,9 +193,7 @@ def mixed_copies(documents: DataFrame, members: Column, weights=WEIGHTS, copies:
     wanted: dict = defaultdict(int)
     for (p, _), words in flow.items():
         wanted[p] += words
-    demand = kept(documents.sparkSession.createDataFrame(
-        [(named[p], supply[p], wanted[p]) for p in supply], "pattern string, words long, wanted long"), "mix-demand")
-    return copies_taken(rows, demand).select("document", "size", "copies"), sizes, goal
+    return copies_taken(rows, {named[p]: (supply[p], wanted[p]) for p in supply}).select("document", "size", "copies"), sizes, goal
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
