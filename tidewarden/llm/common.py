@@ -35,6 +35,32 @@ def dropped(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Scratch:
+    """Stored tables of one computation, each dropped once nothing is left to read from it.
+
+    What is dropped must have been read by finished jobs only; a table that a result still reads stays.
+    """
+
+    def __init__(self):
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def kept(self, df: DataFrame, purpose: str) -> DataFrame:
+        frame, path = kept_at(df, purpose)
+        self.paths[id(frame)] = (frame, path)
+        return frame
+
+    def drop(self, *frames: DataFrame) -> None:
+        for frame in frames:
+            _, path = self.paths.pop(id(frame))
+            dropped(frame.sparkSession, path)
+        # Shuffle files of finished jobs go with the driver's garbage, which a driver with little to do collects rarely.
+        frames[0].sparkSession._jvm.System.gc()
+
+    def drop_all(self) -> None:
+        if self.paths:
+            self.drop(*[frame for frame, _ in self.paths.values()])
+
+
 # Nodes of documents without an id: above all ids, by a hash of the text.
 NO_ID = 1 << 62
 
@@ -175,7 +201,7 @@ def components(links: DataFrame) -> DataFrame:
     map side and split by the skew handling of joins.
     """
     plain = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
-    edges = kept(plain.mapInPandas(_local_forest, "a long, b long"), "forest")
+    edges, path = kept_at(plain.mapInPandas(_local_forest, "a long, b long"), "forest")
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
@@ -184,9 +210,11 @@ def components(links: DataFrame) -> DataFrame:
         # ... then smaller neighbours of a node, and the node, point at the smallest of them.
         least = large.groupBy("b").agg(F.min("a").alias("low"))
         small = large.join(least, "b")
-        edges = kept(
+        before = path
+        edges, path = kept_at(
             small.select(F.col("low").alias("a"), "b").unionByName(small.select(F.col("low").alias("a"), F.col("a").alias("b")))
             .where("a < b").distinct(), "forest")
+        dropped(links.sparkSession, before)
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(
         edges.select(F.col("a").alias("id"), F.col("a").alias("component"))).distinct()
 

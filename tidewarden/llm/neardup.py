@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewarden.llm.common import components, kept
+from tidewarden.llm.common import Scratch, components
 
 POSTING_SCHEMA = "key long, id long, chosen boolean, weight int"
 CLASSES = 96
@@ -98,14 +98,14 @@ def _shared(table):
                     names=["key", "id", "chosen", "weight"])
 
 
-def shared_postings(packed: DataFrame) -> DataFrame:
+def shared_postings(packed: DataFrame, scratch: Scratch) -> DataFrame:
     """Postings (key, id, chosen, weight) of keys that at least two ids have, from (bucket, packed). Stored.
 
     Keys are hashes, so buckets are even; hot entries are spread over tasks by a salt.
     """
     salt = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("packed"), F.lit(4096))).otherwise(0)
     grouped = packed.where(f"bucket >= {HOT}").withColumn("salt", salt).groupBy("bucket", "salt")
-    return kept(grouped.applyInArrow(_shared, POSTING_SCHEMA), "postings")
+    return scratch.kept(grouped.applyInArrow(_shared, POSTING_SCHEMA), "postings")
 
 
 def similar(percent: int) -> Column:
@@ -123,10 +123,12 @@ def possible(percent: int) -> Column:
 
 
 def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
-                  percent: int, copies: DataFrame | None = None,
+                  percent: int, scratch: Scratch, copies: DataFrame | None = None,
                   verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(id, component) of the ids that have a link, from stored postings and the links (a, b) of known copies.
 
+    All tables of ``scratch`` are dropped on the way, the postings too.
+
     ``sets`` maps a frame of distinct ids to (id, items), items being the distinct members of the id's set as longs;
     ``profiles`` to (id, profile), the number of items in each of a fixed number of classes. Links are pairs with
     100 * intersection >= percent * union. Profiles rule most other candidates out before sets are moved.
@@ -141,36 +143,44 @@ def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame
     components.
     """
     weighed = postings.select("key", "id", "chosen", F.sum("weight").over(Window.partitionBy("id")).alias("central"))
-    ranked = kept(weighed, "ranked")
+    ranked = scratch.kept(weighed, "ranked")
     heads = ranked.groupBy("key").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("top"))
     # Heads grow with the postings: merged at every size.
-    headed = kept(ranked.drop("central").join(heads.hint("merge"), "key").select(
+    headed = scratch.kept(ranked.drop("central").join(heads.hint("merge"), "key").select(
         "key", "id", "chosen", F.col("top.central").alias("central"), (-F.col("top.minus")).alias("head")), "headed")
+    scratch.drop(ranked, postings)
     best = headed.groupBy("id").agg(F.max(F.struct("central", (-F.col("head")).alias("minus"))).alias("top"))
-    shape = kept(profiles(postings.select("id").distinct()), "profiles")
+    shape = scratch.kept(profiles(headed.select("id").distinct()), "profiles")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         p, q = (shape.select(F.col("id").alias(x), F.col("profile").alias(y)) for x, y in ("ap", "bq"))
-        near = kept(pairs.join(p, "a").join(q, "b").where(possible(percent)).select("a", "b"), f"{name}-possible")
+        near = scratch.kept(pairs.join(p, "a").join(q, "b").where(possible(percent)).select("a", "b"), f"{name}-possible")
         ids = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
-        items = kept(sets(ids), f"{name}-sets")
+        items = scratch.kept(sets(ids), f"{name}-sets")
         x, y = (items.select(F.col("id").alias(a), F.col("items").alias(b)) for a, b in ("ax", "by"))
         both = near.join(x, "a").join(y, "b")
-        return kept(verify(both) if verify else both.where(similar(percent)).select("a", "b"), f"{name}-links")
+        found = scratch.kept(verify(both) if verify else both.where(similar(percent)).select("a", "b"), f"{name}-links")
+        scratch.drop(near, items)
+        return found
 
-    first = kept(_pairs(best.select("id", (-F.col("top.minus")).alias("other"))), "first")
+    first = scratch.kept(_pairs(best.select("id", (-F.col("top.minus")).alias("other"))), "first")
     links = verified(first, "first")
-    label = kept(components(links), "first-labels")
-    open_ = _open(headed.select("key", "id", "chosen", "head"), label)
+    label = scratch.kept(components(links), "first-labels")
+    open_ = _open(headed.select("key", "id", "chosen", "head"), label, scratch)
+    scratch.drop(headed)
     far = label.select(F.col("id").alias("head"), F.col("component").alias("head_label"))
     star = open_.join(far, "head", "left").where(F.col("label") != F.coalesce("head_label", "head"))
-    star = kept(_pairs(star.select("id", F.col("head").alias("other"))).join(first, ["a", "b"], "left_anti"), "star")
+    star = scratch.kept(_pairs(star.select("id", F.col("head").alias("other"))).join(first, ["a", "b"], "left_anti"), "star")
+    scratch.drop(label)
     links = links.unionByName(verified(star, "star"))
-    open_ = _open(open_.select("key", "id", "chosen"), kept(components(links), "star-labels"))
+    label = scratch.kept(components(links), "star-labels")
+    wider, open_ = open_, _open(open_.select("key", "id", "chosen"), label, scratch)
+    scratch.drop(wider, label)
     # Members of a key's largest component need not meet each other: only the others look for partners.
     counts = open_.groupBy("key", "label").count()
     major = counts.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("major"))
-    marked = kept(open_.join(major, "key"), "marked")
+    marked = scratch.kept(open_.join(major, "key"), "marked")
+    scratch.drop(open_)
     a = marked.where("label != major").select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "chosen", "label")))
     b = marked.select("key", "major", *(F.col(c).alias(f"b_{c}") for c in ("id", "chosen", "label")))
     rest = a.join(b, "key").where(((F.col("b_label") == F.col("major")) | (F.col("a_label") < F.col("b_label")))
@@ -178,8 +188,12 @@ def linked_groups(postings: DataFrame, profiles: Callable[[DataFrame], DataFrame
     rest = _pairs(rest.select(F.col("a_id").alias("id"), F.col("b_id").alias("other")))
     for done in (first, star):
         rest = rest.join(done, ["a", "b"], "left_anti")
-    found = links.unionByName(verified(kept(rest, "rest"), "rest"))
-    return components(found.unionByName(copies) if copies is not None else found)
+    rest = scratch.kept(rest, "rest")
+    scratch.drop(marked)
+    found = links.unionByName(verified(rest, "rest"))
+    groups = components(found.unionByName(copies) if copies is not None else found)
+    scratch.drop_all()
+    return groups
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -187,9 +201,11 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.where("id != other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def _open(postings: DataFrame, components: DataFrame) -> DataFrame:
+def _open(postings: DataFrame, components: DataFrame, scratch: Scratch) -> DataFrame:
     """Postings of the keys whose members are in several components, with ``label``, the component of each. Stored."""
     label = components.withColumnRenamed("component", "label")
-    placed = kept(postings.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")), "placed")
+    placed = scratch.kept(postings.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")), "placed")
     split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    return kept(placed.join(split, "key", "left_semi"), "open")
+    open_ = scratch.kept(placed.join(split, "key", "left_semi"), "open")
+    scratch.drop(placed)
+    return open_

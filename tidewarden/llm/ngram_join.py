@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewarden.llm.common import (
-    BASE, INVERSE, byte_table, joined_bytes, kept, known_id, mixed, node, powers, ranges, table, text_batches,
+    BASE, INVERSE, Scratch, byte_table, joined_bytes, kept, known_id, mixed, node, powers, ranges, table, text_batches,
 )
 from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, linked_groups, pack_postings, profile, shared_postings
 
@@ -195,13 +195,14 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     if percent != PERCENT:
         raise ValueError("bands and segments are laid out for a similarity of 0.8")
     plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    measured = kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>"), "measured")
+    scratch, held = Scratch(), Scratch()
+    measured = held.kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>"), "measured")
     total = measured.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     several = measured.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).where("n_copies > 1")
-    several = kept(several, "copied")
+    several = held.kept(several, "copied")
     facts = kept(measured.select("doc_id", "digest", "n_shingles").join(several, "digest", "left").drop("digest"), "facts")
     buckets = max(1, int(total) // BUCKET_SHINGLES)
-    postings = shared_postings(plain.mapInArrow(_packed(buckets), PACKED_SCHEMA))
+    postings = shared_postings(plain.mapInArrow(_packed(buckets), PACKED_SCHEMA), scratch)
 
     def rows_of(ids: DataFrame, frame: DataFrame) -> DataFrame:
         return frame.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
@@ -210,7 +211,8 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         postings,
         lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile"),
         lambda ids: rows_of(ids, plain).mapInArrow(_sets, "id long, items array<long>"),
-        percent, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+        percent, scratch, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    held.drop_all()
     placed = facts.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "first_node", F.coalesce("component", "doc_id"))
     return placed.select(
