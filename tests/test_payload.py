@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import at, rows
 from tidewarden.operators import payload
 from tidewarden.settings import PAYLOAD_METRICS, PayloadMetric
-from tidewarden.sources.payloads import read_payloads
+from tidewarden.sources.payloads import CORRUPT, SOURCE_FILE, read_payloads
 
 NOW = at("2024-01-30 12:00:00")
 HOURS = ["2024-01-30T10:00", "2024-01-30T12:00", "2024-01-30T13:00"]
@@ -89,7 +89,10 @@ def test_an_offset_in_the_time_text_is_ignored(spark):
     ]
 
 
-def test_a_malformed_document_is_not_dropped(spark, tmp_path):
-    (tmp_path / "docs.json").write_text('{"station_external_id": "s1"\n')
-    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|FAILED_READ_FILE"):
-        payload.payload_rows(read_payloads(spark, str(tmp_path)), NOW).collect()
+def test_a_malformed_document_is_told_apart(spark, tmp_path):
+    lines = ['{"station_external_id": "s1"', '{"station_external_id": "s2", "latitude": "north"}', '{"station_external_id": "s3", "latitude": 1.5}']
+    (tmp_path / "docs.json").write_text("\n".join(lines))
+    documents = read_payloads(spark, str(tmp_path)).select("station_external_id", "latitude", CORRUPT, SOURCE_FILE).collect()
+    assert sorted(r[CORRUPT] for r in documents if r[CORRUPT]) == sorted(lines[:2])
+    assert [(r.station_external_id, r.latitude) for r in documents if r[CORRUPT] is None] == [("s3", 1.5)]
+    assert all(r[SOURCE_FILE].endswith("docs.json") for r in documents)

@@ -122,10 +122,13 @@ def test_landed_documents_as_a_stream(spark, station, tmp_path):
     for n, value in enumerate((10.0, 18.5)):
         (tmp_path / f"{n}.json").write_text(json.dumps({
             "station_external_id": "1", "hourly": {"time": [f"2024-03-01T0{n}:00"], "temperature_2m": [value], "weather_code": [3]}}))
+    with (tmp_path / "1.json").open("a") as landed:
+        landed.write('\n{"station_external_id": "1", "hourly": {"time"')
     documents = stream_payloads(spark, str(tmp_path), files_per_trigger=1)
     start_ingest(documents, wh, shared_folder(spark, "checkpoint"), lambda: hour(2)).awaitTermination()
     runs = wh.read("ops_job_run")
-    assert rows(runs, "status", "rows_inserted") == [("succeeded", 2), ("succeeded", 2)]
+    assert rows(runs, "status", "rows_inserted", "rows_rejected") == [("succeeded", 2, 0), ("succeeded", 2, 1)]
+    assert rows(wh.read("ops_rejected_document"), "record") == [('{"station_external_id": "1", "hourly": {"time"',)]
     jobs.transform_runs(wh, hour(3), unit_factors=dictionary.default_unit_factors(spark))
     facts = wh.read("fact_observation")
     assert [float(v) for (v,) in rows(facts, "value_num")] == [10.0, 18.5]
