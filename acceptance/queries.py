@@ -38,6 +38,7 @@ def query(sql: str, local: str = ""):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return plain(build(Given(spark, sf_dir)))
 
+        run.__module__ = build.__module__
         QUERIES[build.__name__] = run
         ORACLES[build.__name__] = with_ctes(sql, local)
         return build

@@ -1,7 +1,6 @@
 import json
 from datetime import datetime, timezone
 
-import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
 
