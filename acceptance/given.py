@@ -70,6 +70,8 @@ DOCUMENT_METRICS = (
 )
 DOCUMENT_TIME = datetime(2024, 1, 30, 12, 0, tzinfo=timezone.utc)
 
+ROWS_PER_FILE = 50_000
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Types that every engine returns alike: naive UTC times, doubles for decimals."""
@@ -342,22 +344,29 @@ def raw_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def ordered_event_stream(g: Given, parts: int = 4, late: bool = False) -> DataFrame:
-    """The events as a stream of one file per micro-batch, each with the events that arrived in one span of time.
+    """The events as a stream of micro-batches, each with the events that arrived in one span of time.
 
-    ``late``: an event arrives when its row is stored, hours after its time, and not when it happens.
+    ``late``: an event arrives when its row is stored, hours after its time, and not when it happens. Every span is
+    written as the same number of files, which is what a micro-batch takes: many events are many files.
     """
     folder = shared_folder(g.spark, "events")
     events = g.spark.read.schema(SCHEMAS["events"]).parquet(f"{g.sf_dir}/events.parquet")
     arrival = F.col("ts") + stored_after(F.col("props")) if late else F.col("ts")
     first, last = events.agg(F.min(arrival), F.max(arrival)).first()
     edges = [first + (last - first) * k / parts for k in range(1, parts)]
+    within = []
     for low, high in zip([None, *edges], [*edges, None]):
-        span = events.where(arrival >= F.lit(low)) if low else events
-        span = span.where(arrival < F.lit(high)) if high else span
+        after, before = F.lit(True) if low is None else arrival >= F.lit(low), F.lit(True) if high is None else arrival < F.lit(high)
+        within.append(after & before)
+    sizes = events.agg(*[F.count_if(span) for span in within]).first()
+    # Rows are dealt round, so with so many rows to a file none stays empty.
+    files = max(1, min(sizes) // ROWS_PER_FILE)
+    for span in within:
         # Written one after the other: a file source takes older files first.
-        span.coalesce(1).write.mode("append").parquet(folder)
+        rows = events.where(span)
+        (rows.repartition(files) if files > 1 else rows.coalesce(1)).write.mode("append").parquet(folder)
     reader = g.spark.readStream.schema(StructType.fromDDL(SCHEMAS["events"]))
-    return _zoned(reader.option("maxFilesPerTrigger", 1).parquet(folder))
+    return _zoned(reader.option("maxFilesPerTrigger", files).parquet(folder))
 
 
 def anomalies_from_events(events: DataFrame) -> DataFrame:
