@@ -43,7 +43,7 @@ def first_centroids(vectors: DataFrame, count: int = CENTROIDS, seed: str = SEED
     """The ``count`` vectors with the smallest hashes of their ids; a null id is hashed as an empty one, equal ids go by components."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     picked = vectors.select(digest.alias("digest"), "vec").orderBy("digest", "vec").limit(count).collect()
-    return np.array([r.vec for r in picked], dtype=np.int64).reshape(len(picked), -1)
+    return np.array([r.vec for r in picked], dtype=np.int64).reshape(len(picked), -1 if picked else 0)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
