@@ -56,6 +56,60 @@ def test_signatures_meet_for_all_similar_sets():
             assert any(d == 1 and k in mine and (c or mine[k]) for k, d, c in zip(keys.tolist(), docs, chosen)), n
 
 
+def test_similar_sets_share_a_key_that_neither_spares():
+    """Whatever the frequencies are: here the keys that both have are the most frequent ones, and so spared first."""
+    rng = np.random.default_rng(6)
+    for n in [*range(1, 40), 75, 200, 900, 3000]:
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for _ in range(4):
+            gone = rng.integers(0, n // 9 + 1)
+            b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 2**63, gone).astype(np.uint64)]))
+            common_ = len(np.intersect1d(a, b))
+            if not len(b) or 100 * common_ < 80 * (len(a) + len(b) - common_):
+                continue
+            keys, docs, _, level, spare = ngram_join.spared_signatures(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            both = set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
+            left = {0: set(), 1: set()}
+            for d in (0, 1):
+                for step in (False, True):
+                    own = [(k in both, k, s) for k, s in zip(keys[(docs == d) & (level == step)].tolist(), spare[(docs == d) & (level == step)].tolist())]
+                    left[d] |= {k for i, (_, k, s) in enumerate(sorted(own, reverse=True)) if i >= s}
+            assert left[0] & left[1], n
+
+
+def test_parities_never_tell_more_than_the_difference():
+    rng = np.random.default_rng(7)
+    for n in (1, 20, 150, 2000):
+        a, b = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([a[n // 4:], b[: n // 8]]))
+        x, y = neardup.parities(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
+        apart = sum(int(p ^ q).bit_count() for p, q in zip(x, y))
+        assert apart <= len(np.setxor1d(a, b)) and (apart > 0) == (n > 1)
+
+
+def test_members_that_do_not_link_are_not_paired(spark, monkeypatch):
+    """Far copies of one text share keys with all its near copies; pairs that cannot link never become rows."""
+    rng = random.Random(12)
+    origin = [f"w{k}" for k in range(150)]
+    docs = []
+    for i in range(240):
+        words = list(origin)
+        for k in rng.sample(range(150), 1 + i % 2 * 8):
+            words[k] = f"x{i}y{k}"
+        docs.append((i, " ".join(words), "en", "s", None))
+    pairs, stored = {}, common.Scratch.kept
+
+    def counted(self, frame, purpose):
+        out = stored(self, frame, purpose)
+        pairs[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(common.Scratch, "kept", counted)
+    got = ngram_join.jaccard_groups(spark.createDataFrame(docs, DOCUMENTS).repartition(4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_components(docs)
+    assert len({r.component_id for r in got}) > 100 and pairs["rest"] < 10 * len(docs)
+
+
 def test_packed_postings_keep_all_entries():
     keys = np.repeat(np.arange(5, dtype=np.uint64) << np.uint64(41), [1, 2, 3, 200, 70])
     ids = np.arange(len(keys)) + 2**40

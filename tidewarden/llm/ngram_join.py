@@ -2,8 +2,8 @@
 
 Shingle hashes are dealt to the m segments of a size band. Sets of at least 0.8 similarity differ in H items at most,
 so of more than H segments one is equal in both. A document writes the hash of each of its filled segments, under its
-own band and under the next smaller one if it can have partners there. It *chooses* the H + 1 that cost least, those
-with the most items, which are the rarest; a pair needs one choice only. A document with H or fewer filled segments
+own band and under the next smaller one if it can have partners there. Of f filled segments f - H at least are equal
+in a partner, so that the f - H - 1 most frequent can be spared. A document with H or fewer filled segments
 also writes, in a space that only such documents share, all its filled segments (worth one each), the one-deletion
 neighbours of those with two items or more (worth one more) and, if that is not above H yet, its empty segments.
 Pairs are verified exactly.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidewarden.llm.common import (
     BASE, INVERSE, Scratch, byte_table, joined_bytes, kept, known_id, mixed, node, powers, ranges, table, text_batches,
 )
-from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, linked_groups, pack_postings, profile, shared_postings
+from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, PARITIES, linked_groups, pack_postings, parities, profile, shared_postings
 
 WORDS = 5
 PERCENT = 80
@@ -75,11 +75,20 @@ def band_starts(largest: int) -> np.ndarray:
 
 
 def signatures(items: np.ndarray, sizes: np.ndarray):
-    """(key, document, chosen) of all signatures of a batch of sets (see the module)."""
+    """(key, document, chosen) of all signatures of a batch of sets; similar sets share one that either of them chose."""
+    return spared_signatures(items, sizes)[:3]
+
+
+def spared_signatures(items: np.ndarray, sizes: np.ndarray):
+    """(key, document, chosen, level, spare) of all signatures of a batch of sets (see the module).
+
+    ``chosen`` are those of the H + 1 segments with the most items. Of a document's signatures of one level any
+    ``spare`` can be left out; in the space of documents with few filled segments none.
+    """
     starts = band_starts(int(sizes.max()) if len(sizes) else 1)
     band = np.searchsorted(starts, sizes, side="right") - 1
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    keys, docs, picks = [], [], []
+    keys, docs, picks, levels, spares = [], [], [], [], []
     for step in (0, 1):
         level = band - step
         # Under the smaller band only if a partner of 0.8 of the size can be in it.
@@ -112,6 +121,7 @@ def signatures(items: np.ndarray, sizes: np.ndarray):
         keys.append(key)
         docs.append(owner)
         picks.append(rank <= allowed[owner])
+        spares.append(np.maximum(filled - allowed - 1, 0)[owner])
         poor = use & (filled <= allowed)
         if poor.any():
             mine = poor[owner]
@@ -130,9 +140,11 @@ def signatures(items: np.ndarray, sizes: np.ndarray):
                 keys.append(mixed(mixed(mixed(where)) ^ tag))
                 docs.append(np.full(len(gone), i))
             picks += [np.ones(len(k), dtype=bool) for k in keys[len(picks):]]
+            spares += [np.zeros(len(k), dtype=np.int64) for k in keys[len(spares):]]
+        levels += [np.full(len(k), step == 1) for k in keys[len(levels):]]
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
-    return np.concatenate(keys), np.concatenate(docs), np.concatenate(picks)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in (keys, docs, picks, levels, spares))
 
 
 def _packed(buckets: int):
@@ -147,9 +159,9 @@ def _packed(buckets: int):
                 coded = part.column(1).dictionary_encode().indices.to_numpy(zero_copy_only=False)
                 part = part.take(pa.array(np.sort(np.unique(coded, return_index=True)[1])))
                 items, sizes = shingles(part.column(1))
-                keys, docs, chosen = signatures(items, sizes)
+                keys, docs, _, level, spare = spared_signatures(items, sizes)
                 ids = pc.cast(part.column(0), pa.int64()).to_numpy(zero_copy_only=False)
-                yield pack_postings(keys, ids[docs], chosen, buckets)
+                yield pack_postings(keys, ids[docs], level, buckets, spare)
     return run
 
 
@@ -165,7 +177,7 @@ def _sets(batches):
 
 
 def _measured(batches):
-    """(doc_id, digest, n_shingles, profile) of each text."""
+    """(doc_id, digest, n_shingles, profile, parities) of each text."""
     import hashlib
 
     import pyarrow as pa
@@ -174,13 +186,14 @@ def _measured(batches):
         for part in text_batches([batch], "text"):
             items, sizes = shingles(part.column(1))
             n = len(sizes)
-            counts = profile(items, np.repeat(np.arange(n), sizes), n)
-            ends = np.arange(n + 1, dtype=np.int32) * CLASSES
+            owner = np.repeat(np.arange(n), sizes)
+            ends = np.arange(n + 1, dtype=np.int32)
             digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(counts.ravel()))],
-                names=["doc_id", "digest", "n_shingles", "profile"])
+                 pa.ListArray.from_arrays(pa.array(ends * CLASSES), pa.array(profile(items, owner, n).ravel())),
+                 pa.ListArray.from_arrays(pa.array(ends * PARITIES), pa.array(parities(items, owner, n).ravel()))],
+                names=["doc_id", "digest", "n_shingles", "profile", "parities"])
 
 
 def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -196,7 +209,7 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         raise ValueError("bands and segments are laid out for a similarity of 0.8")
     plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scratch, held = Scratch(), Scratch()
-    measured = held.kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>"), "measured")
+    measured = held.kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>, parities array<long>"), "measured")
     total = measured.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     several = measured.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).where("n_copies > 1")
     several = held.kept(several, "copied")
@@ -209,9 +222,10 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     groups = linked_groups(
         postings,
-        lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile"),
+        lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile", "parities"),
         lambda ids: rows_of(ids, plain).mapInArrow(_sets, "id long, items array<long>"),
-        percent, scratch, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+        percent, scratch, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")),
+        sparing=True)
     held.drop_all()
     placed = facts.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "first_node", F.coalesce("component", "doc_id"))
