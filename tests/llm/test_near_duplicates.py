@@ -110,6 +110,42 @@ def test_members_that_do_not_link_are_not_paired(spark, monkeypatch):
     assert len({r.component_id for r in got}) > 100 and pairs["rest"] < 10 * len(docs)
 
 
+def test_lines_that_met_the_head_of_their_key_are_done(spark, monkeypatch):
+    """Lines that share keys two by two and do not link: once the two are compared nothing is left for the last round."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(80):
+        words = [f"{rng.randrange(10**6):06d}" for _ in range(40)]
+        changed = [f"{rng.randrange(10**6):06d}" if k in (7, 15, 22, 30, 36) else w for k, w in enumerate(words)]
+        docs += [(2 * i, " ".join(words), "en", "s", None), (2 * i + 1, " ".join(changed), "en", "s", None)]
+    stored, tables = common.Scratch.kept, {}
+
+    def counted(self, frame, purpose):
+        out = stored(self, frame, purpose)
+        tables[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(common.Scratch, "kept", counted)
+    got = line_dedup.line_verdicts(spark.createDataFrame(docs, DOCUMENTS).repartition(3)).collect()
+    assert len(got) == len(docs) and all(r.kept for r in got)
+    assert tables["first"] > 20 and tables["marked"] == 0
+
+
+def test_stored_buckets_stay_where_they_are(spark):
+    """Of a join by the key of a bucketed table only the other side moves; the table goes with its folder."""
+    scratch = common.Scratch()
+    texts = scratch.bucketed(spark.range(500).groupBy("id").agg(common.F.first(common.F.lit("text")).alias("text")), "texts", "id")
+    few = spark.range(0, 1000, 7).hint("merge")
+    met = texts.join(few, "id", "left_semi")
+    assert met.count() == 72
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    name = next(iter(scratch.names.values()))
+    assert spark.catalog.tableExists(name)
+    scratch.drop_all()
+    assert not spark.catalog.tableExists(name) and not scratch.names
+
+
 def test_packed_postings_keep_all_entries():
     keys = np.repeat(np.arange(5, dtype=np.uint64) << np.uint64(41), [1, 2, 3, 200, 70])
     ids = np.arange(len(keys)) + 2**40

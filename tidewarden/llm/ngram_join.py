@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidewarden.llm.common import (
     BASE, INVERSE, Scratch, byte_table, joined_bytes, kept, known_id, mixed, node, powers, ranges, table, text_batches,
 )
-from tidewarden.llm.neardup import CLASSES, PACKED_SCHEMA, PARITIES, linked_groups, pack_postings, parities, profile, shared_postings
+from tidewarden.llm.neardup import PACKED_SCHEMA, SHAPE_SCHEMA, linked_groups, pack_postings, shapes, shared_postings, verifier
 
 WORDS = 5
 PERCENT = 80
@@ -165,35 +165,22 @@ def _packed(buckets: int):
     return run
 
 
-def _sets(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        for part in text_batches([batch], "text"):
-            items, sizes = shingles(part.column(1))
-            ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(items.view(np.int64)))], names=["id", "items"])
+def _sets(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, and the text that each belongs to."""
+    items, sizes = shingles(texts)
+    return items, np.repeat(np.arange(len(sizes)), sizes)
 
 
 def _measured(batches):
-    """(doc_id, digest, n_shingles, profile, parities) of each text."""
+    """(id, size, parities, digest) of each text; the size is the number of shingles."""
     import hashlib
 
     import pyarrow as pa
 
     for batch in batches:
         for part in text_batches([batch], "text"):
-            items, sizes = shingles(part.column(1))
-            n = len(sizes)
-            owner = np.repeat(np.arange(n), sizes)
-            ends = np.arange(n + 1, dtype=np.int32)
             digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends * CLASSES), pa.array(profile(items, owner, n).ravel())),
-                 pa.ListArray.from_arrays(pa.array(ends * PARITIES), pa.array(parities(items, owner, n).ravel()))],
-                names=["doc_id", "digest", "n_shingles", "profile", "parities"])
+            yield shapes(part.column(0), *_sets(part.column(1))).append_column("digest", pa.array(digests, pa.binary()))
 
 
 def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -209,7 +196,8 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         raise ValueError("bands and segments are laid out for a similarity of 0.8")
     plain = documents.select(node().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scratch, held = Scratch(), Scratch()
-    measured = held.kept(plain.mapInArrow(_measured, "doc_id long, digest binary, n_shingles long, profile array<int>, parities array<long>"), "measured")
+    measured = held.kept(plain.mapInArrow(_measured, f"{SHAPE_SCHEMA}, digest binary").select(
+        F.col("id").alias("doc_id"), "digest", F.col("size").cast("long").alias("n_shingles"), "parities"), "measured")
     total = measured.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     several = measured.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_copies")).where("n_copies > 1")
     several = held.kept(several, "copied")
@@ -222,8 +210,10 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     groups = linked_groups(
         postings,
-        lambda ids: rows_of(ids, measured).select(F.col("doc_id").alias("id"), "profile", "parities"),
-        lambda ids: rows_of(ids, plain).mapInArrow(_sets, "id long, items array<long>"),
+        lambda ids: rows_of(ids, measured).groupBy(F.col("doc_id").alias("id")).agg(
+            F.first("n_shingles").cast("int").alias("size"), F.first("parities").alias("parities")),
+        lambda ids: scratch.bucketed(rows_of(ids, plain).groupBy(F.col("doc_id").alias("id")).agg(F.first("text").alias("items")), "texts", "id"),
+        lambda pairs: pairs.mapInArrow(verifier(percent, _sets), "a long, b long"),
         percent, scratch, facts.where("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")),
         sparing=True)
     held.drop_all()
