@@ -160,6 +160,19 @@ def test_stale_rounds_half_up(spark, station):
     assert rows(found, "metric_id", "minutes_stale") == [(1, Decimal("200.01"))]
 
 
+def test_stations_do_not_go_through_the_driver(spark, tmp_path):
+    """A stored dimension is guessed far too small by its compressed file; its keys are merged at every size."""
+    many = spark.range(0, 20_000, 1, 2).select(
+        F.col("id").alias("station_id"), F.lit(True).alias("is_current"), F.lit(False).alias("is_smoketest"))
+    many.write.parquet(str(tmp_path / "stations"))
+    points = facts(spark, [(7, 1, NOW - timedelta(days=30), 1.0), (20_001, 1, NOW - timedelta(days=30), 1.0)])
+    found = d.stale_findings(points, spark.read.parquet(str(tmp_path / "stations")), NOW)
+    assert rows(found, "station_id", "metric_id") == [(7, 1)]
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+
+
 def test_common_shape_keeps_null_details(spark, station, metric):
     observed = d.Observed(facts(spark, []), station, metric)
     found = d.detect_all(observed, as_of=NOW)

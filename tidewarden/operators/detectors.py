@@ -38,7 +38,12 @@ def monitored(station: DataFrame) -> DataFrame:
 
 
 def _watch(findings: DataFrame, station: DataFrame) -> DataFrame:
-    return findings.join(monitored(station).select("station_id"), "station_id")
+    """Findings of monitored stations.
+
+    The keys of a stored dimension take many times the room of its compressed file, by which its size is guessed, and
+    several detectors run at once: they are merged at every size, so that none of them goes through the driver.
+    """
+    return findings.join(monitored(station).select("station_id").hint("merge"), "station_id")
 
 
 def silent_findings(
